@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,12 +62,14 @@ class Staging:
 
     Each instance writes below a folder of its own in the shared checkpoint folder, so a lost
     executor costs a re-read and not a recomputation, and later steps prune columns and push
-    filters into the stored files.
+    filters into the stored files. A stored step is never overwritten, as earlier results may
+    still read it: storing a name again gives it another folder.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         base = (root or staging_root(spark)).rstrip("/")
         self.folder = f"{base}/claimlink-{uuid.uuid4().hex}"
+        self._stored = itertools.count()
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        return save(df, f"{self.folder}/{name}")
+        return save(df, f"{self.folder}/{next(self._stored):03d}-{name}", mode="errorifexists")
