@@ -49,11 +49,14 @@ def not_in(
     ledger: DataFrame,
     by: str | None = None,
     values: Sequence[int] | None = None,
+    tested: str | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose ``key`` is NOT IN the one key column of ``ledger``.
 
     With ``by``, ``ledger`` has the columns (by, key) and holds one list per value; a row is
     tested against the list of its own value only. ``values`` names the values that occur.
+    ``tested`` names a boolean column: rows where it is false stay without a test. The ledger
+    may hold a key several times.
     """
     if by is None:
         keys = ledger.toDF(_LEDGER_KEY)
@@ -71,6 +74,9 @@ def not_in(
             ]
         )
         match = (F.col(key) == F.col(_LEDGER_KEY)) & (F.col(by) == F.col(_LEDGER_RUN))
+    if tested is not None:
+        passes = passes | ~F.col(tested)
+        match = match & F.col(tested)
     listed = keys.filter(F.col(_LEDGER_KEY).isNotNull()).distinct()
     return df.filter(passes).join(listed, match, "left_anti")
 

@@ -127,15 +127,14 @@ def _both_legs(
     filled = ["provider_id", "days_supply", "out_of_pocket", "patient_pay"]
     both = F.lit(rules.both)
 
-    scenario_1 = to_integrated(best.filter("anchor"), both, filled)
-    non_anchor = best.filter("NOT anchor").withColumn("claim_key", claim_key(mode=key_mode))
-    by_scenario_1 = used.filter("anchor").select("paid_flag", "claim_key")
-    # Non-anchor winners agree with their partner on three of the four filled attributes, so
-    # those "final" values are their own.
-    scenario_3 = to_integrated(
-        not_in(non_anchor, "claim_key", by_scenario_1, "paid_flag", runs), both, filled
+    # Non-anchor winners must not be used by scenario 1. They agree with their partner on three
+    # of the four filled attributes, so those "final" values are their own.
+    best = best.withColumn("claim_key", claim_key(mode=key_mode)).withColumn(
+        "non_anchor", ~F.col("anchor")
     )
-    legs = scenario_1.union(scenario_3)
+    by_scenario_1 = used.filter("anchor").select("paid_flag", "claim_key")
+    kept = not_in(best, "claim_key", by_scenario_1, "paid_flag", runs, tested="non_anchor")
+    legs = to_integrated(kept, both, filled)
     if exclude == "all":
         return legs
     if exclude != "winners":
@@ -204,9 +203,7 @@ def integrate(
     linked = linked_claims(run_claims(base, runs, rules), _RUN_KEYS, rules)
     if staging is not None:
         linked = staging(linked, "linked")
-    used = linked.select(
-        "anchor", "paid_flag", claim_key(mode=key_mode).alias("claim_key")
-    ).distinct()
+    used = linked.select("anchor", "paid_flag", claim_key(mode=key_mode).alias("claim_key"))
     both = _both_legs(linked, used, runs, exclude, key_mode, rules)
     return both.union(_rest(base, used, runs, leftovers, purged, key_mode, rules))
 

@@ -6,13 +6,15 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Join skew is split at run time, also where the join feeds an aggregate on the same key.
+# Join skew is split at run time, also where the join feeds an aggregate on the same key. A
+# join whose every build partition measures below the threshold is hashed instead of sorted.
 # The shuffle partition count is left to the cluster's own setting; adaptive execution
 # coalesces from there.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
