@@ -1,0 +1,258 @@
+"""Hand-made claims for the rules that are easy to get wrong."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from helpers import values
+from pyspark.sql import functions as F
+
+from claimlink.functions import abs_days, claim_key
+from claimlink.operators.base import segment
+from claimlink.operators.link import exact_pairs, ledger, link, linked_claims
+from claimlink.operators.match import best_matches
+from claimlink.operators.rank import best_alternative, rank_links, winners
+from claimlink.plans import scenarios
+from claimlink.plans.integrate import NON_PAID, PAID, integrate, purge
+from claimlink.plans.quality import lost_claims
+from claimlink.schema import EXACT_KEYS, LINK_KEYS
+
+
+def a(claim_id="a1", **more):
+    return {"datasource": "A", "claim_id": claim_id, **more}
+
+
+def b(claim_id="b1", **more):
+    return {"datasource": "B", "claim_id": claim_id, **more}
+
+
+@pytest.mark.parametrize("tolerance", [0, 1, 5, 7])
+def test_band_edges(claims, tolerance):
+    own = claims(a(dos=100))
+    other = claims(*[b(f"b{d}", dos=100 + d) for d in range(-9, 10)])
+    found = values(link(own, other, tolerance=tolerance), "other_claim_id", "abs_date_diff")
+    expected = [(f"b{d}", abs(d)) for d in range(-9, 10) if abs(d) <= tolerance]
+    assert found == sorted(expected, key=str)
+
+
+def test_band_edges_before_the_epoch(claims):
+    from datetime import date
+
+    own = claims(a(dos=date(1969, 12, 29)))
+    other = claims(b("near", dos=date(1970, 1, 3)), b("far", dos=date(1970, 1, 4)))
+    assert values(link(own, other), "other_claim_id") == [("near",)]
+
+
+def test_days_are_calendar_days(spark):
+    df = spark.sql("SELECT timestamp'2020-01-01 23:00' AS x, timestamp'2020-01-02 01:00' AS y")
+    assert df.select(abs_days("x", "y")).first()[0] == 1
+
+
+def test_pairs_need_known_tokens_and_equal_flags(claims):
+    own = claims(a(), a("a2", patient_token_1=None), a("a3", paid_flag=0), a("a4", code="d"))
+    other = claims(b(), b("b2", patient_token_1=None), b("b4", patient_token_2="else"))
+    assert values(link(own, other), "claim_id", "other_claim_id") == [("a1", "b1")]
+    assert values(link(own, other, paid=0), "claim_id") == []
+
+
+def test_equal_pairs_count_once_only_if_asked(claims):
+    own, other = claims(a(), a()), claims(b(), b(), b())
+    assert link(own, other).count() == 1
+    assert link(own, other, distinct=False).count() == 6
+
+
+def test_pairs_that_differ_in_an_unseen_column_of_the_partner_are_equal(claims):
+    own, other = claims(a()), claims(b(source="s"), b(source="t"))
+    assert link(own, other).count() == 1
+
+
+def test_null_attributes_never_agree(claims):
+    full = {"code_group1": None, "provider_id": "1", "out_of_pocket": "1.00", "patient_pay": "2"}
+    own = claims(a(**full), a("a2", **{**full, "patient_pay": None}))
+    other = claims(b(**full), b("b2", **{**full, "patient_pay": None}))
+    assert values(exact_pairs(own, other), "claim_id", "other_claim_id") == [("a1", "b1")]
+    assert values(ledger(own.union(other), EXACT_KEYS), "claim_key") == [("a1c",), ("b1c",)]
+
+
+def test_ties_go_to_the_smaller_claim_id(claims):
+    own = claims(a(dos=10))
+    other = claims(b("late", dos=12), b("early", dos=8))
+    ranked = rank_links(own, other)
+    assert values(ranked, "other_claim_id", "rn") == [("early", 1), ("late", 2)]
+    assert values(winners(ranked), "other_claim_id") == [("early",)]
+    assert values(best_matches(own, other), "other_claim_id") == [("early",)]
+
+
+def test_missing_values_come_from_the_best_alternative(claims):
+    own = claims(a(dos=10))
+    other = claims(
+        b("b1", dos=10, out_of_pocket="3.00"),
+        b("b2", dos=11, provider_id="p"),
+        b("b3", dos=12, provider_id="q", days_supply=30),
+    )
+    row = scenarios.scenario_1(own, other).first()
+    assert (row.other_claim_id, row.other_provider_id) == ("b1", None)
+    assert (row.augment_other_provider_id, row.final_provider_id) == ("p", "p")
+    assert (row.final_days_supply, row.final_out_of_pocket) == (30, Decimal("3.00"))
+    assert row.final_patient_pay is None
+    # two pairs have a provider, one has a days supply, one (the winner's own) an amount
+    assert (row.rn, row.rn_other_provider_id, row.rn_other_days_supply) == (1, 3, 2)
+    assert (row.rn_other_out_of_pocket, row.rn_other_patient_pay) == (1, 1)
+    best = best_alternative(rank_links(own, other), "provider_id")
+    assert values(best, "other_claim_id") == [("b2",)]
+
+
+def test_own_value_wins_over_the_partners(claims):
+    own, other = claims(a(provider_id="own")), claims(b(provider_id="other"))
+    assert scenarios.scenario_1(own, other).first().final_provider_id == "own"
+
+
+def test_fill_needs_the_winners_token_1(claims):
+    """The best row with a provider belongs to another token 1: the value stays empty."""
+    own = claims(a(patient_token_1="x"), a("a2", patient_token_1="y"))
+    other = claims(
+        b("b1", patient_token_1="x", dos=10),
+        b("b2", patient_token_1="y", dos=11, provider_id="p"),
+        b("b3", patient_token_1="x", dos=12, provider_id="q"),
+    )
+    row = best_matches(own, other).first()
+    assert (row.claim_id, row.other_claim_id) == ("a1", "b1")
+    assert (row.augment_other_provider_id, row.final_provider_id) == (None, None)
+
+
+def test_second_claim_of_a_day_is_lost(claims):
+    own, other = claims(a("a1"), a("a2")), claims(b())
+    base = own.union(other)
+    assert values(scenarios.scenario_1(own, other), "claim_id") == [("a1",)]
+    assert values(integrate(base), "data_source", "encounter_key") == [("Both", "a1")]
+    assert values(lost_claims(own, other), "claim_key") == [("a2c",)]
+    # the non-paid run lists it, as it does not look at the flag of unlinked claims
+    found = values(integrate(base, (PAID, NON_PAID)), "data_source", "encounter_key")
+    assert found == [("A", "a1"), ("A", "a2"), ("B", "b1"), ("Both", "a1")]
+    own_flag = integrate(base, (PAID, NON_PAID), leftovers="own_flag")
+    assert values(own_flag, "data_source", "encounter_key") == [("Both", "a1")]
+
+
+def test_every_linked_partner_is_used_up(claims):
+    """b2 is in reach but does not win; it is not listed as unlinked either."""
+    base = claims(a(dos=10), b("b1", dos=10), b("b2", dos=14), b("b3", dos=30))
+    assert values(integrate(base), "data_source", "encounter_key") == [("B", "b3"), ("Both", "a1")]
+
+
+def test_reverse_pass(claims):
+    own, other = claims(a(dos=10)), claims(b("b1", dos=10), b("b2", dos=14))
+    assert scenarios.ranked_pass_2(own, other).count() == 0
+    assert scenarios.scenario_1(own, other).count() == 1
+    rest = scenarios.ranked_pass_2(own, other, exclude="winners")
+    assert values(rest, "claim_id", "other_claim_id") == [("b2", "a1")]
+    both = scenarios.scenario_1(own, other, exclude="winners")
+    assert values(both, "datasource", "claim_id") == [("A", "a1"), ("B", "b2")]
+
+
+def test_link_is_symmetric(claims):
+    own = claims(*[a(f"a{d}", dos=d) for d in (0, 3, 9, 20)])
+    other = claims(*[b(f"b{d}", dos=d) for d in (4, 8, 14, 40)])
+    there = values(link(own, other), "claim_id", "other_claim_id")
+    back = values(link(other, own), "other_claim_id", "claim_id")
+    assert there == back
+    linked = linked_claims(own.union(other), LINK_KEYS)
+    expected = {x for pair in there for x in pair}
+    assert {r.claim_id for r in linked.collect()} == expected
+
+
+def test_key_has_no_separator(claims):
+    """('ab', 'c') linked hides the unlinked claim ('a', 'bc'), unless parts are kept apart."""
+    base = claims(a("ab", code="c"), b("b1", code="c"), a("a", code="bc"))
+    assert values(integrate(base), "encounter_key") == [("ab",)]
+    apart = integrate(base, key_mode="struct")
+    assert values(apart, "data_source", "encounter_key") == [("A", "a"), ("Both", "ab")]
+
+
+def test_key_is_null_when_a_part_is(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', 'b'), (NULL, 'b'), ('a', NULL) AS t(claim_id, code)")
+    for mode in ("concat", "struct"):
+        assert df.filter(claim_key(mode=mode).isNotNull()).count() == 1
+
+
+def test_null_id_in_the_ledger_hides_all_unlinked_claims(claims):
+    base = claims(a(None), b(), a("a9", dos=90))
+    assert values(integrate(base), "data_source", "encounter_key") == [("Both", None)]
+
+
+def test_without_links_every_claim_stays(claims):
+    base = claims(a(None), a("a2", dos=50), b(dos=90))
+    found = values(integrate(base), "data_source", "encounter_key")
+    assert found == [("A", "a2"), ("A", None), ("B", "b1")]
+
+
+def test_code_listed_with_and_without_group(claims):
+    """The claim is anchor and non-anchor; its exact match is dropped, as scenario 1 has it."""
+    full = {"provider_id": "1", "out_of_pocket": "1.00", "patient_pay": "2.00"}
+    base = claims(
+        a(**full), b(**full), a(code_group1=None, **full), b(code_group1=None, **full)
+    )
+    anchor, rest = segment("A", True, base), segment("A", False, base)
+    assert (anchor.count(), rest.count()) == (1, 1)
+    third = scenarios.scenario_3(segment("A", False, base), segment("B", False, base))
+    assert third.count() == 1
+    found = integrate(base)
+    assert values(found, "data_source", "encounter_key", "code_group1") == [("Both", "a1", "g")]
+
+
+def test_unidentified_secondary_claims_are_purged(claims):
+    nobody = {"patient_token_1": None, "patient_token_2": None}
+    base = claims(a(**nobody), b(**nobody), b("b2", patient_token_1=None))
+    assert values(integrate(base), "encounter_key") == [("a1",), ("b2",)]
+    assert values(integrate(base, purged=False), "encounter_key") == [("a1",), ("b1",), ("b2",)]
+    whole = integrate(base, purged=False)
+    assert values(purge(whole), "encounter_key") == [("a1",), ("b2",)]
+
+
+def test_copies_are_listed_once(claims):
+    base = claims(a(dos=10), a(dos=10), b(dos=90), b(dos=90))
+    assert integrate(base).count() == 2
+
+
+def test_other_vendors_are_ignored(claims):
+    base = claims(a(), {"datasource": "C", "claim_id": "x"})
+    assert values(integrate(base), "encounter_key") == [("a1",)]
+
+
+def test_unknown_options_are_refused(claims):
+    base = claims(a())
+    with pytest.raises(ValueError):
+        integrate(base, leftovers="some")
+    with pytest.raises(ValueError):
+        integrate(base, exclude="some")
+    with pytest.raises(ValueError):
+        integrate(base, key_mode="some")
+
+
+def test_slices_do_not_change_ranks(claims):
+    own = claims(*[a(f"{p}{i}", dos=10) for p in ("", "k", "kk", "m") for i in range(3)], a(None))
+    other = claims(
+        *[b(f"b{i}", dos=8 + i, provider_id="p" if i % 2 else None) for i in range(5)]
+    )
+    columns = ["claim_id", "other_claim_id", "rn", "rn_other_provider_id"]
+    whole = values(rank_links(own, other, slice_characters=0), *columns)
+    for characters in (1, 2, 5):
+        assert values(rank_links(own, other, slice_characters=characters), *columns) == whole
+    assert sorted(r[2] for r in whole) == list(range(1, len(whole) + 1))
+
+
+def test_invariants_of_the_result(claims):
+    base = claims(
+        *[a(f"a{d}", dos=d, provider_id="o" if d % 3 else None) for d in range(0, 60, 2)],
+        *[b(f"b{d}", dos=d, provider_id="p") for d in range(1, 40, 7)],
+    )
+    result = integrate(base).cache()
+    assert result.count() == result.distinct().count()
+    both = result.filter("data_source = 'Both'")
+    assert both.count() == both.select("patient_token_2", "codes", "svc_date").distinct().count()
+    used = ledger(base, LINK_KEYS)
+    rest = result.filter("data_source <> 'Both'").select(
+        F.concat("encounter_key", "codes").alias("claim_key")
+    )
+    assert rest.join(used, "claim_key", "left_semi").count() == 0
+    assert both.filter("provider_id IS NULL").count() == 0
