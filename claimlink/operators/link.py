@@ -7,8 +7,9 @@ one row per key and day, so its cost does not grow with the number of pairs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlink.functions import abs_days, claim_key, presence_flags
@@ -134,8 +135,9 @@ def linked_days(
     Claims collapse to one row per key and day, map-side first; the window then holds at most
     one row per calendar day.
     """
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in (*keys, "dos")])
     days = (
-        claims.dropna(subset=[*keys, "dos"])
+        claims.filter(known)
         .groupBy(*keys, "dos")
         .agg(
             F.max(F.col("datasource") == rules.primary).alias("in_primary"),
@@ -143,9 +145,12 @@ def linked_days(
         )
     )
     reach = (
-        Window.partitionBy(*keys)
-        .orderBy(F.unix_date("dos"))
-        .rangeBetween(-rules.tolerance, rules.tolerance)
+        Window.partitionBy(*keys).orderBy("day").rangeBetween(-rules.tolerance, rules.tolerance)
+    )
+    near = days.withColumn("day", F.unix_date("dos")).select(
+        "*",
+        F.max("in_primary").over(reach).alias("near_primary"),
+        F.max("in_secondary").over(reach).alias("near_secondary"),
     )
     sides = F.array_compact(
         F.array(
@@ -153,11 +158,7 @@ def linked_days(
             F.when(F.col("in_secondary") & F.col("near_primary"), F.lit(rules.secondary)),
         )
     )
-    return (
-        days.withColumn("near_primary", F.max("in_primary").over(reach))
-        .withColumn("near_secondary", F.max("in_secondary").over(reach))
-        .select(*keys, "dos", F.explode(sides).alias("datasource"))
-    )
+    return near.select(*keys, "dos", F.explode(sides).alias("datasource"))
 
 
 def linked_claims(

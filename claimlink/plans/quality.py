@@ -94,7 +94,7 @@ def lost_claims(
     used = (
         linked.filter(F.col("datasource") == rules.primary)
         .select(claim_key(mode=key_mode).alias("claim_key"))
-        .dropna()
+        .filter(F.col("claim_key").isNotNull())
         .distinct()
     )
     best = best_matches(own, other, attributes=[], tolerance=rules.tolerance)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import SparkSession
 
 # Join skew is split at run time, also where the join feeds an aggregate on the same key. A
 # join whose every build partition measures below the threshold is hashed instead of sorted.
-# The shuffle partition count is left to the cluster's own setting; adaptive execution
-# coalesces from there.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,10 +17,21 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to a session."""
+_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the run-time settings to a session.
+
+    ``input_bytes``, the size of the claims, raises the shuffle partition count if the session's
+    own would leave more than about 128 MB to a partition. It is never lowered.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        partitions = "spark.sql.shuffle.partitions"
+        needed = math.ceil(input_bytes / _PARTITION_BYTES)
+        spark.conf.set(partitions, str(max(needed, int(spark.conf.get(partitions)))))
     return spark
 
 

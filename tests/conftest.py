@@ -36,6 +36,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     )
