@@ -39,6 +39,21 @@ def _states(ledger: DataFrame, values: Sequence[int] | None) -> list[Column]:
     return [states.getItem(i) for i in range(len(conditions))]
 
 
+def _distinct(keys: DataFrame) -> DataFrame:
+    """Each (run, key) once, NULL keys left out.
+
+    Grouping by a digest as well changes the partitioning, not the result: the list then reaches
+    the join by a shuffle of its own, which adaptive execution needs to split hot keys of the
+    other side.
+    """
+    return (
+        keys.filter(F.col(_LEDGER_KEY).isNotNull())
+        .withColumn("digest", F.xxhash64(_LEDGER_KEY))
+        .distinct()
+        .drop("digest")
+    )
+
+
 def _any(conditions: Sequence[Column]) -> Column:
     return reduce(lambda x, y: x | y, conditions)
 
@@ -77,8 +92,7 @@ def not_in(
     if tested is not None:
         passes = passes | ~F.col(tested)
         match = match & F.col(tested)
-    listed = keys.filter(F.col(_LEDGER_KEY).isNotNull()).distinct()
-    return df.filter(passes).join(listed, match, "left_anti")
+    return df.filter(passes).join(_distinct(keys), match, "left_anti")
 
 
 def not_in_every(
@@ -100,9 +114,8 @@ def not_in_every(
         [(F.col(_LEDGER_RUN) == v) & (s == _PLAIN) for v, s in zip(values, states, strict=True)]
     )
     blocked = (
-        keys.filter(F.col(_LEDGER_KEY).isNotNull() & in_plain)
-        .distinct()
-        .groupBy(_LEDGER_KEY)
+        _distinct(keys.filter(in_plain))
+        .groupBy(_LEDGER_KEY, F.xxhash64(_LEDGER_KEY).alias("digest"))
         .agg(F.count(F.lit(1)).alias("lists"))
         .filter((F.col("lists") == plain_lists) & ~any_empty)
         .select(_LEDGER_KEY)

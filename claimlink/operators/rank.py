@@ -6,16 +6,16 @@ order, a pair with the attribute stands behind the earlier pairs that have it; a
 it stands behind all that have it and the earlier ones that do not.
 
 A group (patient, code, day) may be hot, so it is never one task's work: it is cut into
-slices by date difference and the first characters of the claim id, which follow the pair
-order. Places are counted inside a slice and shifted by the size of the slices before it;
-those sizes come from products of per-day counts, not from the pairs.
+slices by date difference and by the claim id's first characters after what all ids have in
+common. Slices follow the pair order. Places are counted inside a slice and shifted by the size
+of the slices before it; those sizes come from products of per-day counts, not from the pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlink.functions import presence
@@ -33,6 +33,16 @@ from claimlink.schema import (
 SLICE_CHARACTERS = 2
 
 
+def _common_characters(claims: DataFrame) -> Column:
+    """Length of the prefix that all claim ids share; the smallest and largest id tell."""
+    low, high = F.min("claim_id"), F.max("claim_id")
+    shared = F.filter(
+        F.sequence(F.lit(0), F.length(low)),
+        lambda n: F.substr(low, F.lit(1), n) == F.substr(high, F.lit(1), n),
+    )
+    return claims.agg((F.size(shared) - 1).alias("shared")).scalar()
+
+
 def rank_links(
     a: DataFrame,
     b: DataFrame,
@@ -46,14 +56,15 @@ def rank_links(
     slice_characters: int = SLICE_CHARACTERS,
 ) -> DataFrame:
     """Pairs of ``link`` with ``rn`` and ``rn_other_<attribute>`` inside (token 2, code, dos)."""
-    own = drop_listed(with_flag(a, paid), exclude, key_mode).select(*CLAIM_COLUMNS)
+    claims = with_flag(a, paid)
+    own = drop_listed(claims, exclude, key_mode).select(*CLAIM_COLUMNS)
     other = other_side(with_flag(b, paid), keys)
     if distinct:
         own, other = own.distinct(), other.distinct()
     # NULL ids sort first and so does the empty prefix: the slice follows the pair order.
-    own = own.withColumn(
-        "_slice", F.coalesce(F.substring("claim_id", 1, slice_characters), F.lit(""))
-    )
+    characters = F.coalesce(_common_characters(claims), F.lit(0)) + slice_characters
+    prefix = F.substr(F.col("claim_id"), F.lit(1), characters)
+    own = own.withColumn("_slice", F.coalesce(prefix, F.lit("")))
     slice_keys = [*RANK_GROUP, "abs_date_diff", "_slice"]
 
     sizes = (

@@ -17,21 +17,27 @@ RUNTIME_CONF = {
 }
 
 
-_PARTITION_BYTES = 128 * 1024 * 1024
+_BLOCK_BYTES = 32 * 1024
+_SPLIT_BYTES = 128 * 1024 * 1024
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the run-time settings to a session.
 
-    ``input_bytes``, the size of the claims, raises the shuffle partition count if the session's
-    own would leave more than about 128 MB to a partition. It is never lowered.
+    ``input_bytes``, the size of the claims, sizes the widest shuffle: as many partitions as
+    keep its blocks (one per map and reduce task) at 32 KB, and splits of the same size on the
+    map side. That is 58,000 partitions of 1.9 GB at 100 TB, 5,800 of 190 MB at 1 TB. A larger
+    partition count of the session stays.
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     if input_bytes is not None:
-        partitions = "spark.sql.shuffle.partitions"
-        needed = math.ceil(input_bytes / _PARTITION_BYTES)
-        spark.conf.set(partitions, str(max(needed, int(spark.conf.get(partitions)))))
+        partitions = math.ceil(math.sqrt(input_bytes / _BLOCK_BYTES))
+        name = "spark.sql.shuffle.partitions"
+        spark.conf.set(name, str(max(partitions, int(spark.conf.get(name)))))
+        split = math.ceil(input_bytes / partitions)
+        if split > _SPLIT_BYTES:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return spark
 
 

@@ -8,12 +8,19 @@ import pytest
 from helpers import values
 from pyspark.sql import functions as F
 
-from claimlink.operators.base import segment
-from claimlink.operators.link import linked_days
-from claimlink.operators.rank import rank_links
+from claimlink.operators.antijoin import not_in, not_in_every
+from claimlink.operators.base import enrich_tokens, segment
+from claimlink.operators.link import linked_claims, linked_days
+from claimlink.operators.rank import _common_characters, rank_links
 from claimlink.plans import integrate as plan
 from claimlink.plans import scenarios
-from claimlink.schema import CLAIM_COLUMNS, CLAIM_SCHEMA, DEFAULT_RULES, LINK_KEYS
+from claimlink.schema import (
+    BRIDGE_SCHEMA,
+    CLAIM_COLUMNS,
+    CLAIM_SCHEMA,
+    DEFAULT_RULES,
+    LINK_KEYS,
+)
 from claimlink.session import configure
 from claimlink.sources import Staging, conform
 from claimlink.sources.fixture import inputs
@@ -86,16 +93,19 @@ def test_five_ranks_take_one_sort_of_the_pairs(base):
     assert len(re.findall(r"\bWindow \[", text)) == 2  # pairs, slice sizes
 
 
-def test_shuffle_partitions_grow_with_the_input(spark):
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
+def test_partitions_grow_with_the_input(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"]
+    before = [spark.conf.get(n) for n in names]
     try:
         configure(spark, input_bytes=1)
-        assert spark.conf.get(key) == before
+        assert spark.conf.get(names[0]) == before[0]
         configure(spark, input_bytes=100 * 1024**4)
-        assert spark.conf.get(key) == str(100 * 1024**4 // (128 * 1024**2))
+        partitions, split = (int(spark.conf.get(n)) for n in names)
+        assert 50_000 < partitions < 65_000
+        assert partitions * split >= 100 * 1024**4
     finally:
-        spark.conf.set(key, before)
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
 
 
 SIZE = 30_000
@@ -151,3 +161,67 @@ def test_hot_key_among_unlinked_claims(hot, claims):
     result = plan.integrate(base, (1,), purged=False)
     assert result.count() == base.select(*CLAIM_COLUMNS).distinct().count()
     assert LINK_KEYS[0] in result.columns
+
+
+@pytest.fixture
+def small_skew(no_broadcast, spark):
+    """Skew handling at the size of test data."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def splits_skew(df, join: str) -> bool:
+    """Whether the executed plan split a skewed join of that kind."""
+    df.write.format("noop").mode("overwrite").save()
+    df = df.select("*")
+    df.collect()
+    text = physical(df).split("== Initial Plan ==")[0]
+    return any("skew=true" in line and join in line for line in text.splitlines())
+
+
+def test_hot_keys_are_split_in_not_in(spark, hot, small_skew):
+    rows = hot.withColumn(
+        "claim_key", F.when(F.col("patient_token_1") == "t", "hot").otherwise(F.col("claim_id"))
+    )
+    listed = rows.filter("claim_key <> 'hot' AND claim_key LIKE '%7'").select("claim_key")
+    assert splits_skew(not_in(rows, "claim_key", listed), "LeftAnti")
+    lists = listed.select(F.explode(F.array(F.lit(1), F.lit(0))).alias("run"), "claim_key")
+    rest = not_in_every(rows, "claim_key", lists, "run", (1, 0))
+    assert splits_skew(rest, "LeftAnti")
+    assert splits_skew(rest.distinct(), "LeftAnti")
+
+
+def test_hot_keys_are_split_when_linked_claims_are_picked(hot, small_skew):
+    assert splits_skew(linked_claims(hot, LINK_KEYS), "LeftSemi")
+
+
+def test_claims_without_tokens_are_split_in_the_bridge_join(spark, hot, small_skew):
+    token = F.when(F.col("patient_token_1") != "t", F.col("patient_token_1"))
+    claims = hot.withColumns({"original_token_1": token, "original_token_2": token}).drop(
+        "patient_token_1", "patient_token_2"
+    )
+    bridge = spark.range(10).select(
+        *[F.concat(F.lit(c), "id").alias(c) for c in BRIDGE_SCHEMA.fieldNames()]
+    )
+    assert splits_skew(enrich_tokens(claims, bridge), "LeftOuter")
+
+
+def test_slices_start_after_the_common_prefix(hot):
+    a, b = segment("A", True, hot), segment("B", True, hot)
+    few = a.filter("claim_id < 'A00000100'")
+    ranked = rank_links(few, b.filter("claim_id < 'B00000100'"), attributes=["provider_id"])
+    # 50 claims on each side
+    assert ranked.agg(F.max("rn"), F.count_distinct("rn")).first() == (2500, 2500)
+    assert few.select(_common_characters(few).alias("n")).first().n == len("A000000")
