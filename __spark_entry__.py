@@ -159,7 +159,7 @@ def _(c):
     return c.inputs.bridge
 
 
-@_query("scan_code_reference", oracle.table("codes", oracle.CODES_COLUMNS))
+@_query("scan_code_reference", oracle.table("code_reference", oracle.CODES_COLUMNS))
 def _(c):
     return c.inputs.codes
 
@@ -546,7 +546,7 @@ def _(c):
         "r.treatment_claim_id AS claim_id, r.treatment_code AS code, c.code_group1,"
         " c.code_group2, c.code_group3, c.code_group4",
         "raw_treatment AS r",
-        "LEFT JOIN codes AS c ON r.treatment_code = c.code",
+        "LEFT JOIN code_reference AS c ON r.treatment_code = c.code",
     ),
 )
 def _(c):

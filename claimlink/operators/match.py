@@ -118,7 +118,8 @@ def best_matches(
     measures = [F.min(_candidate("first", order, carried)).alias("winner")]
     for x in attributes:
         candidate = _candidate(f"first_{x}", _FILL_ORDER, OTHER_ORDER)
-        measures.append(F.min(F.when(F.col(f"first_{x}").isNotNull(), candidate)).alias(f"fill_{x}"))
+        present = F.col(f"first_{x}").isNotNull()
+        measures.append(F.min(F.when(present, candidate)).alias(f"fill_{x}"))
         if ranks:
             measures.append(F.sum(F.col("own_claims") * F.col(f"claims_{x}")).alias(f"pairs_{x}"))
     best = pairs.groupBy(*group).agg(*measures)

@@ -198,11 +198,12 @@ def integrate(
 
     ``leftovers="all"`` lists unlinked claims whatever their flag, so a claim linked in one
     run comes back unlinked in the other; ``"own_flag"`` keeps each run to its own claims.
-    ``staging`` stores the linked claims, which three later steps read.
+
+    The linked claims, which all later steps read, are computed and stored by this call;
+    ``base`` is read twice and should be a stored table, too.
     """
-    linked = linked_claims(run_claims(base, runs, rules), _RUN_KEYS, rules)
-    if staging is not None:
-        linked = staging(linked, "linked")
+    staging = staging or Staging(base.sparkSession)
+    linked = staging(linked_claims(run_claims(base, runs, rules), _RUN_KEYS, rules), "linked")
     used = linked.select("anchor", "paid_flag", claim_key(mode=key_mode).alias("claim_key"))
     both = _both_legs(linked, used, runs, exclude, key_mode, rules)
     return both.union(_rest(base, used, runs, leftovers, purged, key_mode, rules))

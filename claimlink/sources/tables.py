@@ -48,7 +48,7 @@ def load_codes(spark: SparkSession, name: str, rename: dict[str, str] | None = N
 
 
 def save(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> DataFrame:
-    """Create or replace a table (or a folder, when the name holds a slash); returns it read back."""
+    """Create or replace a table (a folder, when the name holds a slash) and read it back."""
     writer = df.write.mode(mode).format(fmt)
     if "/" in name:
         writer.save(name)

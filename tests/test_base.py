@@ -47,7 +47,11 @@ def bridge(spark):
 
 @pytest.fixture(scope="module")
 def codes(spark):
-    rows = [("c", "g", None, None, None), ("d", None, "h", None, None), ("d", "g", None, None, None)]
+    rows = [
+        ("c", "g", None, None, None),
+        ("d", None, "h", None, None),
+        ("d", "g", None, None, None),
+    ]
     return spark.createDataFrame(rows, CODES_SCHEMA)
 
 

@@ -17,7 +17,6 @@ from claimlink.operators.link import exact_pairs
 from claimlink.plans import scenarios
 from claimlink.plans.integrate import NON_PAID, PAID, integrate
 from claimlink.schema import CLAIM_SCHEMA, INTEGRATED_COLUMNS
-from claimlink.sources import Staging
 
 # seed, rows, whether claim ids may be NULL
 CASES = [(1, 400, False), (2, 150, True)]
@@ -137,10 +136,9 @@ def test_ledgers(tables, run, paid):
 @pytest.mark.parametrize(("run", "paid"), list(oracle.RUNS.items()))
 def test_integrated_run(tables, run, paid):
     connection, base, _ = tables
-    staging = Staging(base.sparkSession)
-    result = integrate(base, (paid,), staging=staging)
+    result = integrate(base, (paid,))
     check(connection, result, f"integrated_{run}", INTEGRATED_COLUMNS)
-    whole = integrate(base, (paid,), purged=False, staging=staging)
+    whole = integrate(base, (paid,), purged=False)
     check(connection, whole, f"all_legs_{run}", INTEGRATED_COLUMNS)
 
 
@@ -154,5 +152,5 @@ def test_integrated_run(tables, run, paid):
 )
 def test_integrated_final(tables, step, options):
     connection, base, _ = tables
-    result = integrate(base, (PAID, NON_PAID), staging=Staging(base.sparkSession), **options)
+    result = integrate(base, (PAID, NON_PAID), **options)
     check(connection, result, step, INTEGRATED_COLUMNS)

@@ -136,7 +136,7 @@ def hot(spark):
 
 def test_a_hot_group_is_integrated_without_its_pairs(hot):
     """900 million pairs; the result has one of them, and the right fill from another."""
-    result = plan.integrate(hot, (1,), staging=Staging(hot.sparkSession))
+    result = plan.integrate(hot, (1,))
     both = result.filter("data_source = 'Both'")
     assert values(both, "encounter_key", "provider_id") == [("A00000000", "last")]
     # odd and even numbers beyond the hot group never share a token
