@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from dataclasses import dataclass
 from functools import cached_property
 from pathlib import Path
 
@@ -60,12 +59,12 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast(t).alias(c) if t else F.col(c) for c, t in casts.items()])
 
 
-@dataclass
 class Context:
     """Tables a query starts from. Steps read more than once are stored first."""
 
-    spark: SparkSession
-    folder: str
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
 
     @cached_property
     def staging(self) -> Staging:

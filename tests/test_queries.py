@@ -6,6 +6,7 @@ here only one of each kind runs. ``CLAIMLINK_ALL_QUERIES=1`` runs all of them.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 
 import pytest
@@ -88,3 +89,12 @@ def test_fixture_reaches_every_rule(spark, duck):
         "datasource = 'B' AND patient_id IS NULL",
     ):
         assert base.filter(condition).count() > 0
+
+
+def test_entry_loads_by_path(spark):
+    """Also when the loader does not register the module."""
+    spec = importlib.util.spec_from_file_location("unregistered_entry", driver.__file__)
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    assert set(module.queries()) == set(QUERIES)
+    assert module.queries()["scan_code_reference"](spark, DATA).count() == 5
