@@ -12,6 +12,7 @@ from claimlink.llm import (
     packing,
     quality_rules,
     secret_scan,
+    simhash,
     url_filter,
 )
 from claimlink.llm.common import prepare, table
@@ -93,6 +94,11 @@ def _(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
 
 
+@_query("op6_simhash_near_dedup")
+def _(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 URL_RULES = [  # fixed values: the rules of the query
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
