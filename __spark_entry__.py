@@ -50,6 +50,14 @@ from claimlink.session import configure  # noqa: E402
 from claimlink.sources import Staging, save  # noqa: E402
 from claimlink.sources.fixture import Inputs, inputs  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from claimlink.llm import queries as documents
+except ModuleNotFoundError as missing:  # the library works without this subpackage
+    if missing.name not in ("corpus_pipeline", "claimlink.llm"):
+        raise
+    corpus_pipeline = documents = None
+
 PAID, NON_PAID = plan.PAID, plan.NON_PAID
 
 
@@ -958,10 +966,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """One entry per operator and step."""
-    return dict(_QUERIES)
+    """One entry per operator and step; those over documents and pages if they are there."""
+    if documents is None:
+        return dict(_QUERIES)
+    return _QUERIES | documents.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every key of ``queries()``."""
-    return dict(_ORACLE)
+    """DuckDB SQL for every query that SQL can express."""
+    if documents is None:
+        return dict(_ORACLE)
+    more = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return _ORACLE | documents.ORACLE | more

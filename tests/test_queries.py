@@ -17,7 +17,7 @@ import __spark_entry__ as driver
 from claimlink import oracle
 from claimlink.sources.fixture import inputs
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = driver._QUERIES, driver._ORACLE  # without those of claimlink.llm
 PIPELINE = [
     "ranked_pass",
     "consolidated",
@@ -96,5 +96,5 @@ def test_entry_loads_by_path(spark):
     spec = importlib.util.spec_from_file_location("unregistered_entry", driver.__file__)
     module = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(module)
-    assert set(module.queries()) == set(QUERIES)
+    assert set(module.queries()) == set(driver.queries())
     assert module.queries()["scan_code_reference"](spark, DATA).count() == 5
