@@ -13,6 +13,8 @@ from claimlink.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    substring_dedup,
+    suffix_dedup,
     url_filter,
 )
 from claimlink.llm.common import prepare, table
@@ -99,6 +101,11 @@ def _(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@_query("op7_suffix_array_dedup")
+def _(spark, folder):
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
 URL_RULES = [  # fixed values: the rules of the query
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -130,6 +137,11 @@ def _(spark, folder):
     return url_filter.judge_urls(table(spark, folder, "pages"), rules)
 
 
+@_query("op9_substring_dedup")
+def _(spark, folder):
+    return substring_dedup.remove_later_repeats(table(spark, folder, "documents"))
+
+
 @_query("op10_secret_scan")
 def _(spark, folder):
     return secret_scan.find_secrets(table(spark, folder, "documents"))
