@@ -16,6 +16,7 @@ from claimlink.llm import (
     substring_dedup,
     suffix_dedup,
     url_filter,
+    warc,
 )
 from claimlink.llm.common import prepare, table
 
@@ -91,6 +92,29 @@ def _(spark, folder):
     )
 
 
+_WARC_SQL = """
+WITH payload AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), original AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000
+        THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes)
+        ELSE page_id END AS response
+    FROM payload
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> response THEN response END AS refers_to
+FROM original
+"""
+
+
+@_query("op4_warc_revisits", _WARC_SQL)
+def _(spark, folder):
+    return warc.deduplicate_pages(table(spark, folder, "pages"))
+
+
 @_query("op5_best_fit_packing")
 def _(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
