@@ -12,12 +12,14 @@ from claimlink.session import configure
 from claimlink.sources.tables import Staging
 
 ROWS_PER_BATCH = 500
+BYTES_PER_BATCH = "16m"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Run-time settings, with small Arrow batches: a batch of texts must fit a worker's memory."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     return spark
 
 
