@@ -13,7 +13,7 @@ from claimlink.schema import (
     DEFAULT_RULES,
     Rules,
 )
-from claimlink.sources import conform
+from claimlink.sources import conform, with_common_numbers
 
 
 def standardize(raw: DataFrame, kind: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -59,15 +59,40 @@ def enrich_tokens(claims: DataFrame, bridge: DataFrame, rules: Rules = DEFAULT_R
     )
 
 
-def enrich_codes(claims: DataFrame, codes: DataFrame) -> DataFrame:
-    """Attach the code groups; Spark broadcasts the reference only if its size allows."""
-    return claims.join(codes.select("code", *CODE_GROUPS), "code", "left")
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def enrich_codes(
+    claims: DataFrame, codes: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Attach the code groups.
+
+    Codes are the most skewed key there is, so a reference whose measured size is at most
+    ``broadcast_bytes`` goes to the claims; a larger one meets them in a shuffled join, which
+    splits hot codes at run time.
+    """
+    reference = codes.select("code", *CODE_GROUPS)
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16
+             for c in reference.columns]
+    measured = reference.agg(F.sum(sum(sizes, F.lit(0))).alias("bytes")).first().bytes or 0
+    if measured <= broadcast_bytes:
+        reference = F.broadcast(reference)
+    return claims.join(reference, "code", "left")
 
 
 def _resolve(claims: DataFrame, bridge: DataFrame, codes: DataFrame, rules: Rules) -> DataFrame:
     return conform(enrich_codes(enrich_tokens(claims, bridge, rules), codes), CLAIM_SCHEMA)
 
 
+def paid_treatments(raw: DataFrame, rules: Rules, paid_rule: str) -> DataFrame:
+    """Treatments a run starts from: all, or those paid by their vendor's own mark."""
+    if paid_rule == "by_source":
+        return raw.filter(paid_by_source(rules))
+    if paid_rule != "any":
+        raise ValueError(f"unknown paid rule: {paid_rule!r}")
+    return raw
+
+
 def base_claims(
     raw: DataFrame,
     bridge: DataFrame,
@@ -80,10 +105,8 @@ def base_claims(
 
     ``paid_rule="by_source"`` keeps only treatments paid by their vendor's own mark.
     """
-    if paid_rule == "by_source" and kind == "treatment":
-        raw = raw.filter(paid_by_source(rules))
-    elif paid_rule not in ("any", "by_source"):
-        raise ValueError(f"unknown paid rule: {paid_rule!r}")
+    if kind == "treatment":
+        raw = paid_treatments(raw, rules, paid_rule)
     return _resolve(standardize(raw, kind, rules), bridge, codes, rules)
 
 
@@ -93,12 +116,14 @@ def all_claims(
     bridge: DataFrame,
     codes: DataFrame,
     rules: Rules = DEFAULT_RULES,
+    paid_rule: str = "any",
 ) -> DataFrame:
     """Both kinds together. They are unioned first, so the bridge is joined once."""
-    claims = standardize(treatment, "treatment", rules).union(
-        standardize(procedure, "procedure", rules)
+    treatment = paid_treatments(treatment, rules, paid_rule)
+    both = with_common_numbers(
+        standardize(treatment, "treatment", rules), standardize(procedure, "procedure", rules)
     )
-    return _resolve(claims, bridge, codes, rules)
+    return _resolve(both[0].union(both[1]), bridge, codes, rules)
 
 
 def is_anchor(group1: str = "code_group1"):

@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+# Types of a layout that is built by hand; loaded numbers keep the type they come in.
 MONEY = T.DecimalType(18, 2)
+NUMBERS = ("days_supply", "out_of_pocket", "patient_pay")
 
 # Fixed values that results depend on.
 NO_PATIENT_SENTINEL = "XXX - F00000"

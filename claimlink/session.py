@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Join skew is split at run time, also where the join feeds an aggregate on the same key. A
 # join whose every build partition measures below the threshold is hashed instead of sorted.
@@ -41,16 +40,20 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     return spark
 
 
-def staging_root(spark: SparkSession) -> str:
-    """Shared folder for stored steps: ``spark.checkpoint.dir`` of the session.
+def input_bytes(*tables: DataFrame) -> int:
+    """Size of what the tables are read from, as Spark's own statistics have it: for files, their
+    length."""
+    total = 0
+    for t in tables:
+        leaves = t._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for k in range(leaves.size()):
+            total += int(str(leaves.apply(k).stats().sizeInBytes()))
+    return total
 
-    Only a local session without that setting gets a folder of its own.
-    """
+
+def staging_root(spark: SparkSession) -> str:
+    """Shared folder for stored steps: ``spark.checkpoint.dir`` of the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="claimlink-")
-    spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -7,12 +7,36 @@ from datetime import date
 import pytest
 from helpers import values
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from claimlink.operators.base import all_claims, base_claims, standardize
+from claimlink.operators.base import all_claims, base_claims, segment, standardize
+from claimlink.operators.link import exact_pairs, ledger
 from claimlink.plans import quality
-from claimlink.schema import BRIDGE_SCHEMA, CLAIM_SCHEMA, CODES_SCHEMA, Rules, raw_schema
+from claimlink.plans.integrate import integrate
+from claimlink.schema import (
+    BRIDGE_SCHEMA,
+    CLAIM_SCHEMA,
+    CODES_SCHEMA,
+    DAY_TOLERANCE,
+    EXACT_KEYS,
+    FILL_ATTRIBUTES,
+    LINK_KEYS,
+    NO_PATIENT_SENTINEL,
+    PAID_STATUSES,
+    RANK_GROUP,
+    Rules,
+    raw_schema,
+)
 from claimlink.session import staging_root
-from claimlink.sources import Staging, load_bridge, load_claims, load_codes, save
+from claimlink.sources import (
+    Staging,
+    conform,
+    exact_type,
+    load_bridge,
+    load_claims,
+    load_codes,
+    save,
+)
 
 
 @pytest.fixture(scope="module")
@@ -152,3 +176,60 @@ def test_checks(treatment, bridge, codes):
     found = quality.trace({"base": base, "raw": base.select("claim_id")}, "t2")
     assert values(found, "stage", "claim_id", "code") == [("base", "t2", "c"), ("raw", "t2", None)]
     assert quality.claim_ids(base, base).count() == 5
+
+
+def raw_treatments(spark, days, amounts, kind="decimal(12,3)", days_kind="decimal(6,2)"):
+    """One treatment per amount, in the vendor's own number types."""
+    rows = [
+        (("A", "B")[i % 2], "s", "o1", "o2", "p", f"t{i}", "prov", "2020-01-01", str(d), str(x),
+         "1", "1", "PAID", "c")
+        for i, (d, x) in enumerate(zip(days, amounts, strict=True))
+    ]
+    names = [f.name for f in raw_schema("treatment")]
+    return spark.createDataFrame(rows, [n for n in names]).withColumns({
+        "treatment_dos": F.to_date("treatment_dos"),
+        "days_supply": F.col("days_supply").cast(days_kind),
+        "out_of_pocket": F.col("out_of_pocket").cast(kind),
+        "patient_pay": F.col("patient_pay").cast(kind),
+    })
+
+
+def test_numbers_keep_all_their_digits(spark):
+    """Amounts that differ in the third decimal do not link, and days keep their fraction."""
+    schema = raw_schema("treatment")
+    raw = conform(raw_treatments(spark, ["30.75", "30.75"], ["1.001", "1.004"]), schema)
+    same = conform(raw_treatments(spark, ["30.75", "30.75"], ["1.001", "1.001"]), schema)
+    bridge = spark.createDataFrame([("o1", "o2", "t1", "t2")], BRIDGE_SCHEMA)
+    codes = spark.createDataFrame([("x", None, None, None, None)], CODES_SCHEMA)
+    procedures = spark.createDataFrame([], raw_schema("procedure"))
+    for rows, pairs in ((raw, 0), (same, 1)):
+        base = all_claims(rows, procedures, bridge, codes)
+        assert {str(r.days_supply) for r in base.collect()} == {"30.75"}
+        assert exact_pairs(segment("A", False, base), segment("B", False, base)).count() == pairs
+        assert ledger(base, EXACT_KEYS).count() == 2 * pairs
+        both = integrate(base).filter("data_source = 'Both'")
+        assert both.count() == pairs
+
+
+def test_numbers_meet_in_a_type_that_holds_both():
+    d = T.DecimalType
+    assert exact_type(d(18, 2), d(18, 2)) == d(18, 2)
+    assert exact_type(d(18, 2), d(12, 5)) == d(21, 5)
+    assert exact_type(T.IntegerType(), d(6, 2)) == d(12, 2)
+    with pytest.raises(ValueError):
+        exact_type(d(38, 2), d(38, 6))
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "float"])
+def test_inexact_amounts_are_refused(spark, kind):
+    with pytest.raises(ValueError, match="decimal"):
+        conform(raw_treatments(spark, ["1"], ["1"], kind), raw_schema("treatment"))
+
+
+def test_fixed_values():
+    """What results are defined by, written out once more."""
+    assert (NO_PATIENT_SENTINEL, PAID_STATUSES, DAY_TOLERANCE) == ("XXX - F00000", ("1", "PAID"), 5)
+    assert LINK_KEYS == ["patient_token_1", "patient_token_2", "code"]
+    assert EXACT_KEYS == [*LINK_KEYS, "provider_id", "out_of_pocket", "patient_pay"]
+    assert RANK_GROUP == ["patient_token_2", "code", "dos"]
+    assert FILL_ATTRIBUTES == ["provider_id", "out_of_pocket", "patient_pay", "days_supply"]
