@@ -31,13 +31,15 @@ def paid_flag(status: Column | str, paid_statuses: Iterable[str]) -> Column:
 
 def paid_by_source(rules: Rules = DEFAULT_RULES) -> Column:
     """Stricter paid rule: final indicator for the primary vendor, status for the secondary."""
-    return (
-        (F.col("treatment_final_claim_indicator") == rules.paid_indicator)
-        & (F.col("datasource") == rules.primary)
-    ) | (
-        (F.col("treatment_claim_status") == rules.paid_code)
-        & (F.col("datasource") == rules.secondary)
-    )
+    own_mark = {
+        rules.primary: ("treatment_final_claim_indicator", rules.paid_indicator),
+        rules.secondary: ("treatment_claim_status", rules.paid_code),
+    }
+    paid = [
+        (F.col("datasource") == vendor) & (F.col(column) == mark)
+        for vendor, (column, mark) in own_mark.items()
+    ]
+    return paid[0] | paid[1]
 
 
 def presence(value: Column | str) -> Column:

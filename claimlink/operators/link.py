@@ -24,6 +24,9 @@ from claimlink.schema import (
     OTHER_COLUMNS,
     Rules,
 )
+from claimlink.sources import Staging
+
+CELL_SIDE = 1000  # claims of either side in one cell of a band: at most a million pairs a task
 
 
 def with_flag(claims: DataFrame, paid: int | None) -> DataFrame:
@@ -52,23 +55,91 @@ def other_side(claims: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def band_join(own: DataFrame, other: DataFrame, keys: Sequence[str], tolerance: int) -> DataFrame:
-    """Inner join on ``keys`` and at most ``tolerance`` days between ``dos`` and ``other_dos``.
+def _in_bands(
+    own: DataFrame, other: DataFrame, tolerance: int
+) -> tuple[DataFrame, DataFrame]:
+    """Days cut into bands of the tolerance's width, the other side standing in three of them.
 
-    Days are cut into bands of the tolerance's width. Two days in reach of each other lie in
-    the same or in neighbouring bands, so the band is an equality key once one side stands in
-    three of them: a key with a long history is spread over many tasks, and a pair meets once.
+    Two days in reach of each other lie in the same or in neighbouring bands, so the band is an
+    equality key: a key with a long history is spread over many tasks, and a pair meets once.
     """
     width = max(tolerance, 1)
-    band = F.floor(F.unix_date("dos") / width)
     other_band = F.floor(F.unix_date("other_dos") / width)
-    spread = F.explode(F.array(other_band - 1, other_band, other_band + 1))
     return (
-        own.withColumn("_band", band)
-        .join(other.withColumn("_band", spread), [*keys, "_band"])
+        own.withColumn("_band", F.floor(F.unix_date("dos") / width)),
+        other.withColumn(
+            "_band", F.explode(F.array(other_band - 1, other_band, other_band + 1))
+        ),
+    )
+
+
+def hot_bands(
+    own: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    tolerance: int,
+    staging: Staging,
+    side: int = CELL_SIDE,
+) -> DataFrame | None:
+    """Bands with more pairs than a task should make, and into how many cells each side is cut.
+
+    Counted and stored: the count per key and band is a small aggregate, the hot ones are few.
+    """
+    own, other = _in_bands(own, other, tolerance)
+    at = [*keys, "_band"]
+    counts = (
+        own.groupBy(*at).agg(F.count(F.lit(1)).alias("own"))
+        .join(other.groupBy(*at).agg(F.count(F.lit(1)).alias("other")), at)
+        .filter(F.col("own") * F.col("other") > side * side)
+    )
+    hot = staging(
+        counts.select(
+            *at,
+            F.ceil(F.col("own") / side).alias("own_cells"),
+            F.ceil(F.col("other") / side).alias("other_cells"),
+        ),
+        "hot_bands",
+    )
+    return None if hot.isEmpty() else hot
+
+
+def band_join(
+    own: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    tolerance: int,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Inner join on ``keys`` and at most ``tolerance`` days between ``dos`` and ``other_dos``.
+
+    ``hot`` (see ``hot_bands``) cuts the named bands into a grid of cells: a claim is in one row
+    or column of cells by hash and meets all cells across, so the pairs of a hot patient, code and
+    day are made by many tasks.
+    """
+    own, other = _in_bands(own, other, tolerance)
+    at = [*keys, "_band"]
+    if hot is not None:
+        cells = {"_own_cell": "own_cells", "_other_cell": "other_cells"}
+
+        def cut(df: DataFrame, placed: str, across: str) -> DataFrame:
+            row = F.xxhash64(*[F.col(c) for c in df.columns])
+            number = {c: F.coalesce(F.col(n), F.lit(1)) for c, n in cells.items()}
+            return (
+                df.join(hot, at, "left")
+                .withColumn(placed, F.pmod(row, number[placed]))
+                .withColumn(across, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                         number[across] - 1)))
+                .drop(*cells.values())
+            )
+
+        own = cut(own, "_own_cell", "_other_cell")
+        other = cut(other, "_other_cell", "_own_cell")
+        at = [*at, *cells]
+    return (
+        own.join(other, at)
         .withColumn("abs_date_diff", abs_days("dos", "other_dos"))
         .filter(F.col("abs_date_diff") <= tolerance)
-        .drop("_band")
+        .drop("_band", "_own_cell", "_other_cell")
     )
 
 
@@ -81,6 +152,7 @@ def link(
     distinct: bool = True,
     exclude: DataFrame | None = None,
     key_mode: str = "concat",
+    staging: Staging | None = None,
 ) -> DataFrame:
     """All pairs (claim of ``a``, claim of ``b``); ``exclude`` lists keys of ``a`` to leave out.
 
@@ -91,7 +163,8 @@ def link(
     other = other_side(with_flag(b, paid), keys)
     if distinct:
         own, other = own.distinct(), other.distinct()
-    return band_join(own, other, keys, tolerance).select(
+    hot = hot_bands(own, other, keys, tolerance, staging or Staging(a.sparkSession))
+    return band_join(own, other, keys, tolerance, hot).select(
         *CLAIM_COLUMNS, *OTHER_COLUMNS, "abs_date_diff"
     )
 

@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlink.functions import abs_days, final_value
-from claimlink.operators.link import other_side
+from claimlink.functions import final_value
+from claimlink.operators.link import band_join, other_side
 from claimlink.schema import (
     CLAIM_COLUMNS,
     DAY_TOLERANCE,
@@ -103,11 +103,8 @@ def best_matches(
     own, other = a.select(*dict.fromkeys([*CLAIM_COLUMNS, *keys])), other_side(b, keys)
     if ranks and distinct:
         own, other = own.distinct(), other.distinct()
-    pairs = (
-        _own_days(own, keys, ranks)
-        .join(_other_days(other, keys, attributes, ranks), list(keys))
-        .withColumn("abs_date_diff", abs_days("dos", "other_dos"))
-        .filter(F.col("abs_date_diff") <= tolerance)
+    pairs = band_join(
+        _own_days(own, keys, ranks), _other_days(other, keys, attributes, ranks), keys, tolerance
     )
     carried = [c for c in ("datasource", "paid_flag") if c not in group]
     order = [
@@ -151,3 +148,17 @@ def best_matches(
             for x in attributes
         ],
     )
+
+
+def best_alternatives(
+    a: DataFrame, b: DataFrame, attribute: str, keys: Sequence[str] = LINK_KEYS,
+    tolerance: int = DAY_TOLERANCE,
+) -> DataFrame:
+    """The first pair of every group whose partner has the attribute.
+
+    Partners without it cannot be in such a pair, so it is the winner among the others.
+    """
+    having = b.filter(F.col(attribute).isNotNull())
+    return best_matches(a, having, keys, attributes=[], tolerance=tolerance).withColumn(
+        f"rn_other_{attribute}", F.col("rn")
+    )

@@ -5,10 +5,11 @@ difference" for four attributes. One sorted pass gives all of them: running alon
 order, a pair with the attribute stands behind the earlier pairs that have it; a pair without
 it stands behind all that have it and the earlier ones that do not.
 
-A group (patient, code, day) may be hot, so it is never one task's work: it is cut into
-slices by date difference and by the claim id's first characters after what all ids have in
-common. Slices follow the pair order. Places are counted inside a slice and shifted by the size
-of the slices before it; those sizes come from products of per-day counts, not from the pairs.
+A group (patient, code, day) with more than ``HOT_PAIRS`` pairs is not one task's work. Its pairs
+are stored, dealt into ranges of the pair order and stored again: a range is one task's share
+wherever the order cuts, whatever the ids look like. Places inside a range are shifted by the
+sizes of the group's ranges before it. Which groups are hot is known beforehand from products of
+per-day counts.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlink.functions import presence
-from claimlink.operators.link import band_join, drop_listed, other_side, with_flag
+from claimlink.operators.link import band_join, drop_listed, hot_bands, other_side, with_flag
 from claimlink.schema import (
     CLAIM_COLUMNS,
     DAY_TOLERANCE,
@@ -29,101 +30,155 @@ from claimlink.schema import (
     PAIR_ORDER,
     RANK_GROUP,
 )
+from claimlink.sources import Staging
 
-SLICE_CHARACTERS = 2
+HOT_PAIRS = 1_000_000
 
+_ORDER = [c for c in PAIR_ORDER if c not in RANK_GROUP]
 
-def _common_characters(claims: DataFrame) -> Column:
-    """Length of the prefix that all claim ids share; the smallest and largest id tell."""
-    low, high = F.min("claim_id"), F.max("claim_id")
-    shared = F.filter(
-        F.sequence(F.lit(0), F.length(low)),
-        lambda n: F.substr(low, F.lit(1), n) == F.substr(high, F.lit(1), n),
+
+def _attribute_rank(x: str, rn: Column, having: Column, all_having: Column) -> Column:
+    return (
+        F.when(F.col(f"other_{x}").isNotNull(), having)
+        .otherwise(all_having + rn - having)
+        .alias(f"rn_other_{x}")
     )
-    return claims.agg((F.size(shared) - 1).alias("shared")).scalar()
 
 
-def rank_links(
-    a: DataFrame,
-    b: DataFrame,
-    keys: Sequence[str] = LINK_KEYS,
-    paid: int = 1,
-    tolerance: int = DAY_TOLERANCE,
-    attributes: Sequence[str] = FILL_ATTRIBUTES,
-    distinct: bool = True,
-    exclude: DataFrame | None = None,
-    key_mode: str = "concat",
-    slice_characters: int = SLICE_CHARACTERS,
+def _rank_in_windows(pairs: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """One sort of every group."""
+    group = Window.partitionBy(*RANK_GROUP)
+    along = group.orderBy(*_ORDER)
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = pairs.select(
+        "*",
+        F.row_number().over(along).alias("rn"),
+        *[F.sum(presence(f"other_{x}")).over(so_far).alias(f"_with_{x}") for x in attributes],
+        *[F.sum(presence(f"other_{x}")).over(group).alias(f"_all_{x}") for x in attributes],
+    )
+    return counted.select(
+        *CLAIM_COLUMNS,
+        *OTHER_COLUMNS,
+        "abs_date_diff",
+        F.col("rn").cast("bigint").alias("rn"),
+        *[
+            _attribute_rank(x, F.col("rn"), F.col(f"_with_{x}"), F.col(f"_all_{x}"))
+            for x in attributes
+        ],
+    )
+
+
+def place_in_ranges(pairs: DataFrame, staging: Staging) -> DataFrame:
+    """The pairs stored in ranges of (group, pair order), with ``_range`` and ``_place`` in it.
+
+    Pairs are stored before they are dealt out, and so is the outcome: the cuts come from a
+    sample, so a second run could cut elsewhere.
+    """
+    order = [*RANK_GROUP, *_ORDER]
+    stored = staging(pairs, "hot_pairs")
+    tasks = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed = staging(dealt.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    return placed.select(
+        "*",
+        F.shiftright("_at", 33).alias("_range"),
+        F.col("_at").bitwiseAND((1 << 33) - 1).alias("_place"),
+    )
+
+
+def _rank_in_ranges(
+    pairs: DataFrame, attributes: Sequence[str], staging: Staging
 ) -> DataFrame:
-    """Pairs of ``link`` with ``rn`` and ``rn_other_<attribute>`` inside (token 2, code, dos)."""
-    claims = with_flag(a, paid)
-    own = drop_listed(claims, exclude, key_mode).select(*CLAIM_COLUMNS)
-    other = other_side(with_flag(b, paid), keys)
-    if distinct:
-        own, other = own.distinct(), other.distinct()
-    # NULL ids sort first and so does the empty prefix: the slice follows the pair order.
-    characters = F.coalesce(_common_characters(claims), F.lit(0)) + slice_characters
-    prefix = F.substr(F.col("claim_id"), F.lit(1), characters)
-    own = own.withColumn("_slice", F.coalesce(prefix, F.lit("")))
-    slice_keys = [*RANK_GROUP, "abs_date_diff", "_slice"]
-
-    sizes = (
-        band_join(
-            own.groupBy(*keys, "dos", "_slice").agg(F.count(F.lit(1)).alias("own_claims")),
-            other.groupBy(*keys, "other_dos").agg(
-                F.count(F.lit(1)).alias("other_claims"),
-                *[F.count(f"other_{x}").alias(f"claims_{x}") for x in attributes],
-            ),
-            keys,
-            tolerance,
-        )
-        .groupBy(*slice_keys)
-        .agg(
-            F.sum(F.col("own_claims") * F.col("other_claims")).alias("pairs"),
-            *[F.sum(F.col("own_claims") * F.col(f"claims_{x}")).alias(x) for x in attributes],
-        )
+    placed = place_in_ranges(pairs, staging)
+    piece = [*RANK_GROUP, "_range"]
+    sizes = placed.groupBy(*piece).agg(
+        F.count(F.lit(1)).alias("pairs"),
+        F.min("_place").alias("_first"),
+        *[F.sum(presence(f"other_{x}")).alias(x) for x in attributes],
     )
-    group = Window.partitionBy(*RANK_GROUP)
-    along = group.orderBy("abs_date_diff", "_slice")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    group = Window.partitionBy(*RANK_GROUP)  # one row per range of the group
+    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
 
-    def before(c: str):
+    def before(c: str) -> Column:
         return F.coalesce(F.sum(c).over(earlier), F.lit(0))
 
     offsets = sizes.select(
-        *slice_keys,
+        *piece,
+        "_first",
         before("pairs").alias("_before"),
         *[before(x).alias(f"_before_{x}") for x in attributes],
-        *[F.sum(x).over(whole).alias(f"_all_{x}") for x in attributes],
+        *[F.sum(x).over(group).alias(f"_all_{x}") for x in attributes],
     )
-
-    inside = Window.partitionBy(*slice_keys).orderBy(
-        *[c for c in PAIR_ORDER if c not in slice_keys]
+    inside = Window.partitionBy(*piece).orderBy("_place").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    places = band_join(own, other, keys, tolerance).select(
-        "*",
-        F.row_number().over(inside).alias("_place"),
-        *[F.sum(presence(f"other_{x}")).over(so_far).alias(f"_with_{x}") for x in attributes],
+    counted = placed.select(
+        "*", *[F.sum(presence(f"other_{x}")).over(inside).alias(f"_with_{x}") for x in attributes]
     )
-
-    rn = F.col("_before") + F.col("_place")
-
-    def attribute_rank(x: str):
-        having = F.col(f"_before_{x}") + F.col(f"_with_{x}")
-        return (
-            F.when(F.col(f"other_{x}").isNotNull(), having)
-            .otherwise(F.col(f"_all_{x}") + rn - having)
-            .alias(f"rn_other_{x}")
-        )
-
-    return places.join(offsets, slice_keys).select(
+    rn = F.col("_before") + F.col("_place") - F.col("_first") + 1
+    return counted.join(offsets, piece).select(
         *CLAIM_COLUMNS,
         *OTHER_COLUMNS,
         "abs_date_diff",
         rn.alias("rn"),
-        *[attribute_rank(x) for x in attributes],
+        *[
+            _attribute_rank(
+                x, rn, F.col(f"_before_{x}") + F.col(f"_with_{x}"), F.col(f"_all_{x}")
+            )
+            for x in attributes
+        ],
+    )
+
+
+def _hot_groups(
+    own: DataFrame, other: DataFrame, keys: Sequence[str], tolerance: int, staging: Staging,
+    hot_pairs: int,
+) -> DataFrame | None:
+    """Groups with more pairs than ``hot_pairs``, from counts per key and day."""
+    counts = band_join(
+        own.groupBy(*keys, "dos").agg(F.count(F.lit(1)).alias("own_claims")),
+        other.groupBy(*keys, "other_dos").agg(F.count(F.lit(1)).alias("other_claims")),
+        keys,
+        tolerance,
+    )
+    hot = staging(
+        counts.groupBy(*RANK_GROUP)
+        .agg(F.sum(F.col("own_claims") * F.col("other_claims")).alias("pairs"))
+        .filter(F.col("pairs") > hot_pairs)
+        .select(*RANK_GROUP),
+        "hot_groups",
+    )
+    return None if hot.isEmpty() else hot
+
+
+def rank_links(
+    a: DataFrame,
+    b: DataFrame,
+    keys: Sequence[str] = LINK_KEYS,
+    paid: int = 1,
+    tolerance: int = DAY_TOLERANCE,
+    attributes: Sequence[str] = FILL_ATTRIBUTES,
+    distinct: bool = True,
+    exclude: DataFrame | None = None,
+    key_mode: str = "concat",
+    staging: Staging | None = None,
+    hot_pairs: int = HOT_PAIRS,
+) -> DataFrame:
+    """Pairs of ``link`` with ``rn`` and ``rn_other_<attribute>`` inside (token 2, code, dos)."""
+    staging = staging or Staging(a.sparkSession)
+    own = drop_listed(with_flag(a, paid), exclude, key_mode).select(*CLAIM_COLUMNS)
+    other = other_side(with_flag(b, paid), keys)
+    if distinct:
+        own, other = own.distinct(), other.distinct()
+    hot = _hot_groups(own, other, keys, tolerance, staging, hot_pairs)
+    if hot is None:  # then no band is hot either, or only for days out of reach of each other
+        return _rank_in_windows(band_join(own, other, keys, tolerance), attributes)
+    # A group's pairs all come from own claims of that group.
+    ordinary = own.join(hot, RANK_GROUP, "left_anti")
+    many = own.join(hot, RANK_GROUP, "left_semi")
+    cells = hot_bands(many, other, keys, tolerance, staging)
+    return _rank_in_windows(band_join(ordinary, other, keys, tolerance), attributes).union(
+        _rank_in_ranges(band_join(many, other, keys, tolerance, cells), attributes, staging)
     )
 
 

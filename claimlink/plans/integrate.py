@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from claimlink.functions import claim_key
 from claimlink.operators.antijoin import not_in, not_in_every
-from claimlink.operators.base import all_claims, is_anchor
+from claimlink.operators.base import all_claims, is_anchor, segment
 from claimlink.operators.link import linked_claims
 from claimlink.operators.match import best_matches
+from claimlink.plans import scenarios
 from claimlink.schema import (
     CLAIM_COLUMNS,
     DEFAULT_RULES,
@@ -25,6 +26,7 @@ from claimlink.schema import (
     RANK_GROUP,
     Rules,
 )
+from claimlink.session import configure, input_bytes
 from claimlink.sources import Staging
 
 PAID, NON_PAID = 1, 0
@@ -220,9 +222,58 @@ def run_pipeline(
     bridge: DataFrame,
     codes: DataFrame,
     rules: Rules = DEFAULT_RULES,
+    paid_rule: str = "any",
+    staging: Staging | None = None,
     **options,
 ) -> DataFrame:
-    """From the four input tables to the final table, base and linked claims stored once."""
-    staging = Staging(treatment.sparkSession)
-    base = staging(all_claims(treatment, procedure, bridge, codes, rules), "base")
+    """From the four input tables to the final table, base and linked claims stored once.
+
+    The session gets the run-time settings and as many partitions as the measured size of the
+    inputs asks for. ``staging.drop()`` removes the stored steps when the result is saved.
+    """
+    spark = treatment.sparkSession
+    configure(spark, input_bytes(treatment, procedure))
+    staging = staging or Staging(spark)
+    base = staging(all_claims(treatment, procedure, bridge, codes, rules, paid_rule), "base")
     return integrate(base, (PAID, NON_PAID), rules=rules, staging=staging, **options)
+
+
+def stage_tables(
+    base: DataFrame,
+    paid: int = PAID,
+    exclude: str = "all",
+    key_mode: str = "concat",
+    rules: Rules = DEFAULT_RULES,
+    staging: Staging | None = None,
+) -> dict[str, DataFrame]:
+    """The run's intermediate tables by name, each stored: for tracing claims through the run.
+
+    ``run_pipeline`` needs none of them; the ranked tables list every pair.
+    """
+    staging = staging or Staging(base.sparkSession)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        tables[name] = staging(df, name)
+        return tables[name]
+
+    tables = {"base": base}
+    a, b, a_rest, b_rest = (
+        store(f"{side}_{kind}", segment(vendor, kind == "anchor", base))
+        for kind in ("anchor", "non_anchor")
+        for side, vendor in (("primary", rules.primary), ("secondary", rules.secondary))
+    )
+    store("ranked_1", scenarios.ranked_pass_1(a, b, paid, rules))
+    store("ranked_2", scenarios.ranked_pass_2(a, b, paid, exclude, key_mode, rules, staging))
+    first = store(
+        "scenario_1", scenarios.scenario_1(a, b, paid, exclude, key_mode, rules, staging)
+    )
+    third = store("scenario_3", scenarios.scenario_3(a_rest, b_rest, paid, rules))
+    used_1 = store("ledger_1", scenarios.ledger_scenario_1(a, b, paid, key_mode, rules))
+    used_3 = store("ledger_3", scenarios.ledger_scenario_3(a_rest, b_rest, paid, key_mode, rules))
+    store("leg_scenario_1", leg_scenario_1(first, rules))
+    store("leg_scenario_3", leg_scenario_3(third, used_1, key_mode, rules))
+    for name in ("primary_anchor", "secondary_anchor", "primary_non_anchor",
+                 "secondary_non_anchor"):
+        vendor = rules.primary if name.startswith("primary") else rules.secondary
+        store(f"leg_{name}", leg_rest(tables[name], vendor, used_1, used_3, key_mode))
+    return tables

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlink.functions import claim_key, completeness_label, concat_key
+from claimlink.operators.base import segment
 from claimlink.operators.link import linked_claims, with_flag
 from claimlink.operators.match import best_matches
-from claimlink.schema import DEFAULT_RULES, LINK_KEYS, Rules
+from claimlink.schema import DEFAULT_RULES, EXACT_KEYS, LINK_KEYS, Rules
+from claimlink.sources import Staging
 
 
 def reconcile(before: DataFrame, after: DataFrame, before_id: str = "claim_id") -> DataFrame:
@@ -84,33 +86,61 @@ def lost_claims(
     paid: int = 1,
     key_mode: str = "concat",
     rules: Rules = DEFAULT_RULES,
+    keys: Sequence[str] = LINK_KEYS,
 ) -> DataFrame:
-    """Keys of primary claims that are linked but win no group.
+    """Keys of primary claims that are linked on ``keys`` but win no group.
 
-    They are neither in the scenario result nor among the unlinked claims of their run.
+    They are neither in the scenario result nor among the unlinked claims of their run. Anchors
+    link on ``LINK_KEYS``, other claims on ``EXACT_KEYS``.
     """
     own, other = with_flag(a, paid), with_flag(b, paid)
-    linked = linked_claims(own.union(other), LINK_KEYS, rules)
+    linked = linked_claims(own.union(other), keys, rules)
     used = (
         linked.filter(F.col("datasource") == rules.primary)
         .select(claim_key(mode=key_mode).alias("claim_key"))
         .filter(F.col("claim_key").isNotNull())
         .distinct()
     )
-    best = best_matches(own, other, attributes=[], tolerance=rules.tolerance)
+    best = best_matches(own, other, keys, attributes=[], tolerance=rules.tolerance)
     won = best.select(claim_key(mode=key_mode).alias("claim_key"))
     return used.join(won, "claim_key", "left_anti")
 
 
+def _profile(integrated: DataFrame) -> DataFrame:
+    """What the checks need of the final table, with equal rows counted."""
+    return (
+        integrated.select(
+            "data_source",
+            "encounter_key",
+            "codes",
+            "patient_token_2",
+            completeness_label("provider_id", "Provider").alias("provider_status"),
+            completeness_label("out_of_pocket", "Cost").alias("cost_status"),
+        )
+        .groupBy(
+            "data_source", "encounter_key", "codes", "patient_token_2", "provider_status",
+            "cost_status",
+        )
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def quality_report(
     raw_ids: DataFrame,
     base: DataFrame,
-    a: DataFrame,
-    b: DataFrame,
     integrated: DataFrame,
+    paid: Sequence[int] = (1,),
+    key_mode: str = "concat",
     rules: Rules = DEFAULT_RULES,
+    staging: Staging | None = None,
 ) -> DataFrame:
-    """All checks as rows of (check_name, item, amount)."""
+    """All checks of a run as rows of (check_name, item, amount).
+
+    ``paid`` names the flags the integrated table was made for. The table is read once: what the
+    checks need of it is stored first.
+    """
+    staging = staging or Staging(base.sparkSession)
+    profile = staging(_profile(integrated), "profile")
 
     def rows(df: DataFrame, check: str, item: Column, amount: str) -> DataFrame:
         return df.select(
@@ -119,30 +149,32 @@ def quality_report(
             F.col(amount).cast("bigint").alias("amount"),
         )
 
-    by_source = summary(integrated)
+    measures = ["record_count", "unique_patients", "unique_encounters"]
+    by_source = profile.groupBy("data_source").agg(
+        F.sum("n").alias("record_count"),
+        F.count_distinct("patient_token_2").alias("unique_patients"),
+        F.count_distinct("encounter_key").alias("unique_encounters"),
+    )
+    repeated = (
+        profile.groupBy("encounter_key", "codes").agg(F.sum("n").alias("n")).filter("n > 1")
+    )
+    filled = profile.groupBy("provider_status", "cost_status").agg(F.sum("n").alias("n"))
+
+    def lost(anchor: bool, keys: Sequence[str]) -> list[DataFrame]:
+        sides = [segment(v, anchor, base) for v in (rules.primary, rules.secondary)]
+        return [lost_claims(*sides, p, key_mode, rules, keys) for p in paid]
+
+    def number(parts: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.union, parts).agg(F.count(F.lit(1)).alias("n"))
+
     parts = [
         rows(reconcile(raw_ids, base), "distinct_claims", F.col("stage"), "distinct_claims"),
-        *[
-            rows(by_source, c, F.col("data_source"), c)
-            for c in ("record_count", "unique_patients", "unique_encounters")
-        ],
-        rows(
-            duplicates(integrated).agg(F.count(F.lit(1)).alias("n")),
-            "duplicate_encounters",
-            F.lit("all"),
-            "n",
-        ),
-        rows(
-            completeness(integrated),
-            "completeness",
-            F.concat_ws("/", "provider_status", "cost_status"),
-            "record_count",
-        ),
-        rows(
-            lost_claims(a, b, rules=rules).agg(F.count(F.lit(1)).alias("n")),
-            "lost_claims",
-            F.lit("all"),
-            "n",
+        by_source.unpivot(["data_source"], measures, "check_name", "amount").select(
+            "check_name", F.col("data_source").alias("item"), F.col("amount").cast("bigint")
         ),
+        rows(repeated.agg(F.count(F.lit(1)).alias("n")), "duplicate_encounters", F.lit("all"), "n"),
+        rows(filled, "completeness", F.concat_ws("/", "provider_status", "cost_status"), "n"),
+        rows(number(lost(True, LINK_KEYS)), "lost_claims", F.lit("scenario_1"), "n"),
+        rows(number(lost(False, EXACT_KEYS)), "lost_claims", F.lit("scenario_3"), "n"),
     ]
     return reduce(DataFrame.union, parts)

@@ -18,6 +18,7 @@ from claimlink.schema import (
     OTHER_COLUMNS,
     Rules,
 )
+from claimlink.sources import Staging
 
 _RANKS = ["rn", *[f"rn_other_{a}" for a in FILL_ATTRIBUTES]]
 
@@ -68,15 +69,18 @@ def ranked_pass_2(
     exclude: str = "all",
     key_mode: str = "concat",
     rules: Rules = DEFAULT_RULES,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """The same seen from the secondary vendor, for its claims not yet linked.
 
     With ``exclude="all"`` nothing is left: the link is symmetric, so a claim that finds a
     partner here was already part of a first-pass pair.
     """
-    listed = pass_2_ledger(a, b, paid, exclude, key_mode, rules)
+    staging = staging or Staging(a.sparkSession)
+    listed = staging(pass_2_ledger(a, b, paid, exclude, key_mode, rules), "listed")
     pairs = rank_links(
-        b, a, LINK_KEYS, paid, rules.tolerance, exclude=listed, key_mode=key_mode
+        b, a, LINK_KEYS, paid, rules.tolerance, exclude=listed, key_mode=key_mode,
+        staging=staging,
     )
     return _ranked(pairs, rules)
 
@@ -109,9 +113,11 @@ def matched_pass_2(
     exclude: str = "all",
     key_mode: str = "concat",
     rules: Rules = DEFAULT_RULES,
+    staging: Staging | None = None,
 ) -> DataFrame:
-    """Winning pairs of the reverse pass (44 columns)."""
-    listed = pass_2_ledger(a, b, paid, exclude, key_mode, rules)
+    """Winning pairs of the reverse pass (44 columns); the list of used keys is stored."""
+    staging = staging or Staging(a.sparkSession)
+    listed = staging(pass_2_ledger(a, b, paid, exclude, key_mode, rules), "listed")
     rest = drop_listed(with_flag(b, paid), listed, key_mode)
     best = best_matches(
         rest, with_flag(a, paid), LINK_KEYS, tolerance=rules.tolerance, ranks=True
@@ -147,6 +153,7 @@ def scenario_1(
     exclude: str = "all",
     key_mode: str = "concat",
     rules: Rules = DEFAULT_RULES,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Anchor result of both passes, united by position (44 columns).
 
@@ -157,7 +164,7 @@ def scenario_1(
     first = matched_pass_1(a, b, paid, rules)
     if exclude == "all":
         return first
-    return first.union(matched_pass_2(a, b, paid, exclude, key_mode, rules))
+    return first.union(matched_pass_2(a, b, paid, exclude, key_mode, rules, staging))
 
 
 def scenario_3(

@@ -229,15 +229,14 @@ def test_unknown_options_are_refused(claims):
         integrate(base, key_mode="some")
 
 
-def test_slices_do_not_change_ranks(claims):
+def test_ranges_do_not_change_ranks(claims):
     own = claims(*[a(f"{p}{i}", dos=10) for p in ("", "k", "kk", "m") for i in range(3)], a(None))
     other = claims(
         *[b(f"b{i}", dos=8 + i, provider_id="p" if i % 2 else None) for i in range(5)]
     )
     columns = ["claim_id", "other_claim_id", "rn", "rn_other_provider_id"]
-    whole = values(rank_links(own, other, slice_characters=0), *columns)
-    for characters in (1, 2, 5):
-        assert values(rank_links(own, other, slice_characters=characters), *columns) == whole
+    whole = values(rank_links(own, other), *columns)
+    assert values(rank_links(own, other, hot_pairs=1), *columns) == whole
     assert sorted(r[2] for r in whole) == list(range(1, len(whole) + 1))
 
 
