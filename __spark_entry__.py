@@ -6,7 +6,9 @@ Queries run over the whole claims tables derived from ``lineitem``, ``orders``,
 
 from __future__ import annotations
 
+import re
 import sys
+import tempfile
 from collections.abc import Callable
 from functools import cached_property
 from pathlib import Path
@@ -33,7 +35,7 @@ from claimlink.operators.base import (  # noqa: E402
     standardize,
 )
 from claimlink.operators.link import anchor_pairs, exact_pairs, link  # noqa: E402
-from claimlink.operators.match import best_matches  # noqa: E402
+from claimlink.operators.match import best_alternatives, best_matches  # noqa: E402
 from claimlink.operators.rank import best_alternative, rank_links, winners  # noqa: E402
 from claimlink.plans import integrate as plan  # noqa: E402
 from claimlink.plans import quality, scenarios  # noqa: E402
@@ -61,6 +63,19 @@ except ModuleNotFoundError as missing:  # the library works without this subpack
 PAID, NON_PAID = plan.PAID, plan.NON_PAID
 
 
+def with_folder(run: Callable[[SparkSession, str], DataFrame]):
+    """A local session that names no shared folder gets one; a cluster must name its own."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not named and re.fullmatch(r"local(\[.*\])?", context.master):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="claimlink-"))
+        return run(spark, sf_dir)
+
+    return query
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Dates as text, amounts as double, whole numbers as bigint; see ``oracle.plain_type``."""
     casts = {c: oracle.plain_type(c) for c in df.columns}
@@ -121,10 +136,6 @@ class Context:
     def integrated(self, runs, **options) -> DataFrame:
         return plan.integrate(self.base, runs, staging=self.staging, **options)
 
-    @cached_property
-    def integrated_paid(self) -> DataFrame:
-        """The paid table, stored for the checks that read it several times."""
-        return self.staging(self.integrated((PAID,)), "integrated_paid")
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,7 +149,7 @@ def _query(name: str, sql: str | None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return plain(build(Context(configure(spark), sf_dir.rstrip("/"))))
 
-        _QUERIES[name] = run
+        _QUERIES[name] = with_folder(run)
         if sql is not None:
             _ORACLE[name] = sql
         return build
@@ -173,7 +184,9 @@ def _(c):
 
 @_query("ctas_sink", oracle.table("base_procedure", CLAIM_COLUMNS))
 def _(c):
-    return save(c.procedure, f"{c.staging.folder}/base_procedure")
+    name = f"{c.staging.folder}/base_procedure"
+    save(c.treatment, name)
+    return save(c.procedure, name)  # replaces the table that was there
 
 
 @_query(
@@ -231,37 +244,63 @@ def _(c):
 
 
 # ---------------------------------------------------------------- projections
-_COMMON = ["datasource", "claim_id", "dos", "days_supply", "code"]
+def _standard(kind: str) -> str:
+    """A raw table under the common names, before any lookup."""
+    own = kind == "treatment"
+    status = "treatment_claim_status" if own else "'1' AS treatment_claim_status"
+    indicator = "treatment_final_claim_indicator"
+    return (
+        "SELECT datasource, source, patient_token_1 AS original_token_1,"
+        " patient_token_2 AS original_token_2,"
+        " CASE WHEN datasource = 'A' THEN patient_id END AS patient_id,"
+        f" {kind}_claim_id AS claim_id, provider_id, CAST({kind}_dos AS VARCHAR) AS dos,"
+        f" CAST({'days_supply' if own else 'NULL'} AS DOUBLE) AS days_supply,"
+        " CAST(out_of_pocket AS DOUBLE) AS out_of_pocket,"
+        f" CAST(patient_pay AS DOUBLE) AS patient_pay, {status},"
+        f" {indicator if own else chr(39) + 'PAID' + chr(39) + ' AS ' + indicator},"
+        f" {kind}_code AS code, CAST({_PAID_FLAG if own else 1} AS BIGINT) AS paid_flag"
+        f" FROM raw_{kind}"
+    )
+
+
+_PAID_FLAG = "CASE WHEN treatment_claim_status IN ('1', 'PAID') THEN 1 ELSE 0 END"
 
 
 @_query(
     "standardize_columns",
-    oracle.with_steps(
-        "SELECT datasource, treatment_claim_id AS claim_id,"
-        " CAST(treatment_dos AS VARCHAR) AS dos, CAST(days_supply AS DOUBLE) AS days_supply,"
-        " treatment_code AS code FROM raw_treatment UNION ALL"
-        " SELECT datasource, procedure_claim_id, CAST(procedure_dos AS VARCHAR), NULL,"
-        " procedure_code FROM raw_procedure"
-    ),
+    oracle.with_steps(f"{_standard('treatment')} UNION ALL {_standard('procedure')}"),
 )
 def _(c):
     i = c.inputs
-    both = standardize(i.treatment, "treatment").union(standardize(i.procedure, "procedure"))
-    return both.select(*_COMMON)
+    return standardize(i.treatment, "treatment").union(standardize(i.procedure, "procedure"))
 
 
 @_query(
     "constant_columns",
-    _select(
-        "procedure_claim_id AS claim_id, '1' AS treatment_claim_status,"
-        " 'PAID' AS treatment_final_claim_indicator, CAST(1 AS BIGINT) AS paid_flag",
-        "raw_procedure",
+    oracle.with_steps(
+        "SELECT procedure_claim_id AS claim_id, '1' AS treatment_claim_status,"
+        " 'PAID' AS treatment_final_claim_indicator, CAST(1 AS BIGINT) AS paid_flag,"
+        " CAST(NULL AS VARCHAR) AS data_source FROM raw_procedure UNION ALL"
+        " SELECT claim_id, treatment_claim_status, treatment_final_claim_indicator,"
+        " CAST(paid_flag AS BIGINT), 'Both' FROM winners_1_paid UNION ALL"
+        " SELECT claim_id, treatment_claim_status, treatment_final_claim_indicator,"
+        " CAST(paid_flag AS BIGINT), datasource FROM base WHERE code_group1 IS NOT NULL"
+        " AND datasource IN ('A', 'B')"
     ),
 )
 def _(c):
-    return standardize(c.inputs.procedure, "procedure").select(
-        "claim_id", "treatment_claim_status", "treatment_final_claim_indicator", "paid_flag"
-    )
+    columns = [
+        "claim_id", "treatment_claim_status", "treatment_final_claim_indicator", "paid_flag",
+        "data_source",
+    ]
+    none = F.lit(None).cast("string").alias("data_source")
+    literals = standardize(c.inputs.procedure, "procedure").select(*columns[:-1], none)
+    linked = scenarios.matched_pass_1(c.a, c.b).select(*columns)
+    unlinked = [
+        s.select(*columns[:-1], F.lit(vendor).alias("data_source"))
+        for s, vendor in ((c.a, "A"), (c.b, "B"))
+    ]
+    return literals.union(linked).union(unlinked[0]).union(unlinked[1])
 
 
 @_query("typed_null_column", oracle.table("base", ["claim_id", "code", "dos", "days_supply"]))
@@ -306,9 +345,8 @@ def _(c):
 @_query(
     "paid_flag",
     _select(
-        "treatment_claim_id AS claim_id, treatment_claim_status, CAST(CASE WHEN"
-        " treatment_claim_status = '1' OR treatment_claim_status = 'PAID' THEN 1 ELSE 0 END"
-        " AS BIGINT) AS paid_flag",
+        f"treatment_claim_id AS claim_id, treatment_claim_status, CAST({_PAID_FLAG} AS BIGINT)"
+        " AS paid_flag",
         "raw_treatment",
     ),
 )
@@ -338,16 +376,19 @@ def _(c):
     return pairs.select(*_PAIR_ID, abs_days("other_dos", "dos").alias("abs_date_diff"))
 
 
-_OWN_VALUE = ["claim_id", "code", "dos", "provider_id", "other_provider_id", "final_provider_id"]
+_OWN_VALUE = [
+    "claim_id", "code", "dos",
+    *[f"{part}{x}" for x in FILL_ATTRIBUTES for part in ("", "other_", "augment_other_", "final_")],
+]
 
 
 @_query("coalesce_priority", oracle.table("matched_1_paid", _OWN_VALUE))
 def _(c):
-    best = best_matches(
-        c.a.filter("paid_flag = 1"), c.b.filter("paid_flag = 1"), attributes=["provider_id"]
-    )
-    final = final_value("provider_id", "other_provider_id", "augment_other_provider_id")
-    return best.withColumn("final_provider_id", final).select(*_OWN_VALUE)
+    best = best_matches(c.a.filter("paid_flag = 1"), c.b.filter("paid_flag = 1"))
+    final = {
+        f"final_{x}": final_value(x, f"other_{x}", f"augment_other_{x}") for x in FILL_ATTRIBUTES
+    }
+    return best.withColumns(final).select(*_OWN_VALUE)
 
 
 @_query(
@@ -364,12 +405,17 @@ def _(c):
     )
 
 
+_STATUSES = (
+    "CASE WHEN provider_id IS NOT NULL THEN 'Provider_Complete' ELSE 'Provider_Missing' END"
+    " AS provider_status, CASE WHEN out_of_pocket IS NOT NULL THEN 'Cost_Complete' ELSE"
+    " 'Cost_Missing' END AS cost_status"
+)
+
+
 @_query(
     "status_label",
     _select(
-        "claim_id, code, CASE WHEN provider_id IS NULL THEN 'Provider_Missing' ELSE"
-        " 'Provider_Complete' END AS provider_status, CASE WHEN out_of_pocket IS NULL THEN"
-        " 'Cost_Missing' ELSE 'Cost_Complete' END AS cost_status",
+        f"claim_id, code, {_STATUSES}",
         "base",
     ),
 )
@@ -396,18 +442,20 @@ def _(c):
 # ---------------------------------------------------------------- filters
 @_query(
     "filter_anchor",
-    _select(oracle.plain(CLAIM_COLUMNS), "base_treatment", "WHERE code_group1 IS NOT NULL"),
+    _select(oracle.plain(CLAIM_COLUMNS), "base", "WHERE code_group1 IS NOT NULL"),
 )
 def _(c):
-    return segment("A", True, c.treatment).union(segment("B", True, c.treatment))
+    both = c.treatment, c.procedure
+    return segment("A", True, *both).union(segment("B", True, *both))
 
 
 @_query(
     "filter_non_anchor",
-    _select(oracle.plain(CLAIM_COLUMNS), "base_treatment", "WHERE code_group1 IS NULL"),
+    _select(oracle.plain(CLAIM_COLUMNS), "base", "WHERE code_group1 IS NULL"),
 )
 def _(c):
-    return segment("A", False, c.treatment).union(segment("B", False, c.treatment))
+    both = c.treatment, c.procedure
+    return segment("A", False, *both).union(segment("B", False, *both))
 
 
 @_query("filter_paid_pair", oracle.table("pairs_1_non_paid", [*_PAIR_ID, "paid_flag"]))
@@ -432,7 +480,8 @@ def _(c):
     _select(oracle.plain([*_PAIR_ID, "rn"]), "ranked_1_paid", "WHERE rn = 1"),
 )
 def _(c):
-    return winners(rank_links(c.a, c.b, attributes=[])).select(*_PAIR_ID, "rn")
+    paid = [s.filter("paid_flag = 1") for s in (c.a, c.b)]
+    return best_matches(*paid, attributes=[]).select(*_PAIR_ID, "rn")
 
 
 @_query(
@@ -444,8 +493,8 @@ def _(c):
     ),
 )
 def _(c):
-    ranked = rank_links(c.a, c.b, attributes=["days_supply"])
-    return best_alternative(ranked, "days_supply").select(
+    paid = [s.filter("paid_flag = 1") for s in (c.a, c.b)]
+    return best_alternatives(*paid, "days_supply").select(
         *_PAIR_ID, "other_days_supply", "rn_other_days_supply"
     )
 
@@ -522,16 +571,10 @@ _TRACED = ["base", "primary_anchor", "ranked_1_paid", "scenario_1_paid", "scenar
     ),
 )
 def _(c):
-    first = c.staging(scenarios.scenario_1(c.a, c.b), "scenario_1")
-    tables = [
-        c.base,
-        c.a,
-        scenarios.ranked_pass_1(c.a, c.b),
-        first,
-        scenarios.scenario_3(c.a_rest, c.b_rest),
-    ]
-    wanted = first.agg(F.min("claim_id")).scalar()
-    found = quality.trace(dict(zip(_TRACED, tables, strict=True)), wanted)
+    stored = plan.stage_tables(c.base, staging=c.staging)
+    wanted = stored["scenario_1"].agg(F.min("claim_id")).scalar()
+    tables = {s: stored[s.replace("_paid", "")] for s in _TRACED}
+    found = quality.trace(tables, wanted)
     return found.select("stage", *CLAIM_COLUMNS)
 
 
@@ -681,11 +724,7 @@ def _(c):
     return quality.duplicates(c.integrated((PAID,)))
 
 
-_STATUS_COUNTS = (
-    "CASE WHEN provider_id IS NOT NULL THEN 'Provider_Complete' ELSE 'Provider_Missing' END"
-    " AS provider_status, CASE WHEN out_of_pocket IS NOT NULL THEN 'Cost_Complete' ELSE"
-    " 'Cost_Missing' END AS cost_status, count(*) AS record_count"
-)
+_STATUS_COUNTS = f"{_STATUSES}, count(*) AS record_count"
 
 
 @_query(
@@ -766,12 +805,9 @@ def _(c):
     return plan.merge_final(c.integrated((PAID,)), c.integrated((NON_PAID,)))
 
 
-@_query(
-    "minus_rows",
-    oracle.table("integrated_paid", INTEGRATED_COLUMNS, "WHERE data_source = 'B'"),
-)
+@_query("minus_rows", oracle.table("integrated_paid", INTEGRATED_COLUMNS))
 def _(c):
-    return plan.purge(c.integrated((PAID,), purged=False)).filter("data_source = 'B'")
+    return plan.purge(c.integrated((PAID,), purged=False))
 
 
 @_query(
@@ -912,51 +948,82 @@ def _(c):
     return c.integrated((PAID, NON_PAID), exclude="winners")
 
 
-# ---------------------------------------------------------------- checks
-_LOST = (
-    "SELECT DISTINCT claim_id || code AS claim_key FROM ranked_1_paid WHERE claim_id || code"
-    " NOT IN (SELECT claim_id || code FROM winners_1_paid)"
+@_query(
+    "integrated_final_by_source",
+    oracle.table("integrated_final", INTEGRATED_COLUMNS, by_source=True),
 )
+def _(c):
+    i = c.inputs
+    return plan.run_pipeline(
+        i.treatment, i.procedure, i.bridge, i.codes, paid_rule="by_source"
+    )
+
+
+# ---------------------------------------------------------------- checks
+def _lost(scenario: int, run: str) -> str:
+    return (
+        f"SELECT DISTINCT claim_id || code AS claim_key FROM ranked_{scenario}_{run}"
+        " WHERE claim_id || code NOT IN"
+        f" (SELECT claim_id || code FROM winners_{scenario}_{run})"
+    )
 
 
-@_query("lost_claims", oracle.with_steps(_LOST))
+@_query("lost_claims", oracle.with_steps(_lost(1, "paid")))
 def _(c):
     return quality.lost_claims(c.a, c.b)
 
 
-@_query(
-    "quality_report",
-    oracle.with_steps(
-        " UNION ALL ".join(
-            [
-                "SELECT 'distinct_claims' AS check_name, 'before' AS item,"
-                " count(DISTINCT claim_id) AS amount FROM claim_line",
-                "SELECT 'distinct_claims', 'after', count(DISTINCT claim_id) FROM base",
-                *[
-                    f"SELECT '{name}', data_source, {amount} FROM integrated_paid"
-                    " GROUP BY data_source"
-                    for name, amount in (
-                        ("record_count", "count(*)"),
-                        ("unique_patients", "count(DISTINCT patient_token_2)"),
-                        ("unique_encounters", "count(DISTINCT encounter_key)"),
-                    )
-                ],
-                "SELECT 'duplicate_encounters', 'all', count(*) FROM (SELECT encounter_key FROM"
-                " integrated_paid GROUP BY encounter_key, codes HAVING count(*) > 1) AS repeated",
-                "SELECT 'completeness', provider_status || '/' || cost_status, record_count FROM"
-                f" (SELECT {_STATUS_COUNTS} FROM integrated_paid GROUP BY provider_status,"
-                " cost_status) AS counts",
-                f"SELECT 'lost_claims', 'all', count(*) FROM ({_LOST}) AS lost",
-            ]
-        )
-    ),
-)
+@_query("lost_claims_scenario_3", oracle.with_steps(_lost(3, "paid")))
 def _(c):
-    i = c.inputs
-    raw_ids = i.treatment.select(F.col("treatment_claim_id").alias("claim_id")).union(
-        i.procedure.select("procedure_claim_id")
-    )
-    return quality.quality_report(raw_ids, c.base, c.a, c.b, c.integrated_paid)
+    return quality.lost_claims(c.a_rest, c.b_rest, keys=EXACT_KEYS)
+
+
+def _report(table: str, runs: tuple[str, ...]) -> str:
+    parts = [
+        "SELECT 'distinct_claims' AS check_name, 'before' AS item,"
+        " count(DISTINCT claim_id) AS amount FROM claim_line",
+        "SELECT 'distinct_claims', 'after', count(DISTINCT claim_id) FROM base",
+    ]
+    for name, amount in (
+        ("record_count", "count(*)"),
+        ("unique_patients", "count(DISTINCT patient_token_2)"),
+        ("unique_encounters", "count(DISTINCT encounter_key)"),
+    ):
+        parts.append(f"SELECT '{name}', data_source, {amount} FROM {table} GROUP BY data_source")
+    parts += [
+        "SELECT 'duplicate_encounters', 'all', count(*) FROM (SELECT encounter_key FROM"
+        f" {table} GROUP BY encounter_key, codes HAVING count(*) > 1) AS repeated",
+        "SELECT 'completeness', provider_status || '/' || cost_status, record_count FROM"
+        f" (SELECT {_STATUS_COUNTS} FROM {table} GROUP BY provider_status, cost_status) AS counts",
+    ]
+    for scenario in (1, 3):
+        lost = " UNION ALL ".join(f"SELECT * FROM ({_lost(scenario, r)}) AS l" for r in runs)
+        parts.append(
+            f"SELECT 'lost_claims', 'scenario_{scenario}', count(*) FROM ({lost}) AS lost"
+        )
+    return oracle.with_steps(" UNION ALL ".join(parts))
+
+
+def _report_query(name: str, table: str, flags: tuple[int, ...]) -> None:
+    runs = tuple(r for r, flag in oracle.RUNS.items() if flag in flags)
+
+    @_query(name, _report(table, runs))
+    def _(c):
+        i = c.inputs
+        raw_ids = i.treatment.select(F.col("treatment_claim_id").alias("claim_id")).union(
+            i.procedure.select("procedure_claim_id")
+        )
+        return quality.quality_report(
+            raw_ids, c.base, c.integrated(flags), flags, staging=c.staging
+        )
+
+
+for _name, _table, _flags in (
+    ("quality_report", "integrated_paid", (PAID,)),
+    ("quality_report_non_paid", "integrated_non_paid", (NON_PAID,)),
+    ("quality_report_final", "integrated_final", (PAID, NON_PAID)),
+):
+    _report_query(_name, _table, _flags)
 
 
 # ---------------------------------------------------------------- driver contract
@@ -969,7 +1036,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator and step; those over documents and pages if they are there."""
     if documents is None:
         return dict(_QUERIES)
-    return _QUERIES | documents.QUERIES | {"pipeline": corpus_pipeline.run}
+    more = documents.QUERIES | {"pipeline": corpus_pipeline.run}
+    return _QUERIES | {name: with_folder(run) for name, run in more.items()}
 
 
 def oracle_sql() -> dict[str, str]:

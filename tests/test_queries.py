@@ -1,13 +1,8 @@
-"""Registered queries against their SQL.
-
-The steps of the linking pipeline meet the SQL on random claims (``test_random_claims.py``);
-here only one of each kind runs. ``CLAIMLINK_ALL_QUERIES=1`` runs all of them.
-"""
+"""Every registered query against its SQL."""
 
 from __future__ import annotations
 
 import importlib.util
-import os
 
 import pytest
 from conftest import DATA
@@ -18,43 +13,7 @@ from claimlink import oracle
 from claimlink.sources.fixture import inputs
 
 QUERIES, SQL = driver._QUERIES, driver._ORACLE  # without those of claimlink.llm
-PIPELINE = [
-    "ranked_pass",
-    "consolidated",
-    "scenario_",
-    "ledger_",
-    "leg_",
-    "integrated_",
-    "rank_by",
-    "non_anchor_pairs",
-    "union_distinct_",
-    "filter_best",
-    "not_in_",
-    "link_",
-    "segment_",
-    "augment",
-    "minus_rows",
-    "duplicate_",
-    "completeness_",
-    "summary_",
-]
-ALWAYS = [
-    "rank_by_days_supply",
-    "augment_four",
-    "leg_scenario_3",
-    "leg_secondary_anchor_rest",
-    "union_distinct_legs",
-    "integrated_final",
-]
-
-
-def chosen() -> list[str]:
-    if os.environ.get("CLAIMLINK_ALL_QUERIES"):
-        return list(QUERIES)
-    return [n for n in QUERIES if n in ALWAYS or not n.startswith(tuple(PIPELINE))]
-
-
-@pytest.mark.parametrize("name", chosen())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_its_sql(spark, duck, name):
     result = QUERIES[name](spark, DATA)
     columns, expected = duck_rows(duck, SQL[name])
