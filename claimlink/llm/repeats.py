@@ -12,9 +12,10 @@ the gram.
 2. A second pass over the texts emits the anchors that pass the sieve, with a digest of the context.
    Equal contexts of an anchor form a class. A class is one row from here on, however large it is.
 3. Anchors with one class are settled by its size. For the others, the context of each class's first
-   member is fetched from its document and compared with those of the same anchor: ``shipped``.
-   Anchors with very many different contexts are not put into one task; their contexts are taken
-   apart into hashed runs, which meet by themselves.
+   member is fetched from its document and compared with those of the same anchor by the operator.
+4. An anchor with very many different contexts is not put into one task. Its contexts are cut into
+   parts that answer for fewer runs each, which then share a longer gram; parts are classed and
+   compared in the same way, down to parts that are a single run.
 
 Rows are told apart by document id and text hash, so that repeated ids do no harm.
 """
@@ -22,7 +23,7 @@ Rows are told apart by document id and text hash, so that repeated ids do no har
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import xxhash
@@ -33,7 +34,6 @@ from claimlink.llm.common import arrow_schema, batch, fields, texts
 from claimlink.sources.tables import Staging
 
 BITS = 27  # the bitmap has 2 ** BITS bits: 16 MB
-HOT_CLASSES = 256  # contexts of one anchor beyond which they are taken apart
 
 
 def sliding(x: np.ndarray, size: int, pick) -> np.ndarray:
@@ -57,13 +57,15 @@ def smallest_of_windows(h: np.ndarray, size: int) -> np.ndarray:
 @dataclass(frozen=True)
 class Runs:
     """What a run is: ``units`` turns a text into a byte string of ``width`` bytes a unit, and
-    ``anchors`` gives positions and hashes of the anchors in it."""
+    ``anchors`` gives positions and hashes of the anchors in it. An anchor with more than ``most``
+    different contexts is hot."""
 
     least: int
     gram: int
     width: int
     units: Callable[[bytes], bytes]
     anchors: Callable[[bytes], tuple[np.ndarray, np.ndarray]]
+    most: int  # contexts of one anchor beyond which they are taken apart
 
     def context(self, position: int, units: int) -> tuple[int, int]:
         side = self.least - self.gram
@@ -109,7 +111,8 @@ def repeated_bitmap(docs: DataFrame, runs: Runs) -> np.ndarray:
 
 def _passes(anchors: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     bit = anchors >> np.uint64(64 - BITS)
-    return (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+    word = bitmap[(bit >> np.uint64(6)).astype(np.int64)]
+    return (word >> (bit & np.uint64(63))) & np.uint64(1) > 0
 
 
 OCCURRENCES = fields(
@@ -166,31 +169,26 @@ def classes(found: DataFrame) -> DataFrame:
     return each.join(per_anchor.filter("places > 1"), "anchor")
 
 
-SHIPPED = fields(
-    ("hot", "boolean"), ("anchor", "long"), ("part", "long"), ("doc_id", "long"), ("key", "long"),
-    ("pos", "long"), ("start", "long"), ("n", "long"), ("context", "binary"),
+CONTEXTS = fields(
+    ("hot", "boolean"), ("anchor", "long"), ("doc_id", "long"), ("key", "long"), ("pos", "long"),
+    ("start", "long"), ("context", "binary"),
 )
 
 
 def shipped(docs: DataFrame, several: DataFrame, runs: Runs) -> DataFrame:
-    """The contexts of all classes that share their anchor with another class.
-
-    One row per class with its context; for an anchor with more than ``HOT_CLASSES`` of them one row
-    per run in the context instead, under the run's 128-bit hash (``anchor``, ``part``).
-    """
+    """The contexts of all classes that share their anchor with another class."""
     wanted = several.groupBy(
         F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key")
     ).agg(
         F.collect_list(
-            F.struct("anchor", F.col("first.pos").alias("pos"), "n",
-                     (F.col("contexts") > HOT_CLASSES).alias("hot"))
+            F.struct("anchor", F.col("first.pos").alias("pos"),
+                     (F.col("contexts") > runs.most).alias("hot"))
         ).alias("wanted")
     )
     joined = docs.select("doc_id", "text", text_key(F.col("text")).alias("key")).join(
         wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     )
-    schema = arrow_schema(SHIPPED)
-    digest, w = xxhash.xxh3_128_intdigest, runs.width
+    schema, w = arrow_schema(CONTEXTS), runs.width
 
     def emit(batches):
         for b in batches:
@@ -198,22 +196,119 @@ def shipped(docs: DataFrame, several: DataFrame, runs: Runs) -> DataFrame:
                 b.column("doc_id").to_pylist(), texts(b.column("text")),
                 b.column("key").to_pylist(), b.column("wanted").to_pylist(), strict=True,
             ):
-                unit = runs.units(text)
-                total, out = len(unit) // w, []
+                unit, out = runs.units(text), []
                 for r in rows:
-                    start, end = runs.context(r["pos"], total)
-                    if not r["hot"]:
-                        out.append((False, r["anchor"], 0, doc_id, key, r["pos"], start, r["n"],
-                                    unit[start * w : end * w]))
-                        continue
-                    for s in range(start, end - runs.least + 1):
-                        h = digest(unit[s * w : (s + runs.least) * w])
-                        out.append((True, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63),
-                                    doc_id, key, s, s, r["n"], b""))
+                    start, end = runs.context(r["pos"], len(unit) // w)
+                    out.append((r["hot"], r["anchor"], doc_id, key, r["pos"], start,
+                                unit[start * w : end * w]))
                 for at in range(0, len(out), 2000):
                     yield batch(schema, list(zip(*out[at : at + 2000], strict=True)))
 
-    return joined.select("doc_id", "text", "key", "wanted").mapInArrow(emit, SHIPPED)
+    return joined.select("doc_id", "text", "key", "wanted").mapInArrow(emit, CONTEXTS)
+
+
+PARTS = fields(
+    ("anchor", "long"), ("digest", "long"), ("doc_id", "long"), ("pos", "long"), ("key", "long"),
+    ("start", "long"), ("end", "long"), ("context", "binary"),
+)
+
+
+def _parts(hot: DataFrame, runs: Runs, finer: Runs) -> DataFrame:
+    """Contexts cut so that a part answers for ``finer.least - finer.gram + 1`` runs.
+
+    Runs are told apart by the distance from their start to the anchor, so equal runs are in parts
+    with equal grams.
+    """
+    schema, w = arrow_schema(PARTS), runs.width
+    side, step = runs.least - runs.gram, runs.least - finer.gram + 1
+    digest = xxhash.xxh3_64_intdigest
+
+    def signed(values: list[int]) -> np.ndarray:
+        return np.array(values, np.uint64).view(np.int64)
+
+    def emit(batches):
+        for b in batches:
+            out = []
+            for doc_id, key, pos, start, context in zip(
+                *[b.column(c).to_pylist() for c in ("doc_id", "key", "pos", "start", "context")],
+                strict=True,
+            ):
+                total = len(context) // w
+                for near in range(0, side + 1, step):  # least distance from a run's start
+                    at = pos - near - start  # of the finer gram, in the context
+                    low = max(0, at - min(step - 1, side - near))
+                    high = min(total, at + runs.least)
+                    if at < 0 or high - low < runs.least:
+                        continue  # no run of the part lies in the document
+                    part = context[low * w : high * w]
+                    gram = context[at * w : (at + finer.gram) * w]
+                    out.append((digest(gram), digest(part, at - low), doc_id, start + at, key,
+                                start + low, start + high, part))
+            columns = list(zip(*out, strict=True)) or [()] * len(schema)
+            yield batch(schema, [signed(columns[0]), signed(columns[1]), *columns[2:]])
+
+    return hot.select("doc_id", "key", "pos", "start", "context").mapInArrow(emit, PARTS)
+
+
+def resolve(
+    docs: DataFrame,
+    runs: Runs,
+    grams: list[int],
+    compare: Callable[[DataFrame, int], DataFrame],
+    later_only: bool,
+    store: Staging,
+) -> list[DataFrame]:
+    """Spans of repeated runs; they may overlap.
+
+    ``compare(contexts, gram)`` finds repeats among different contexts of one anchor. ``later_only``
+    leaves the first place of a run out, and else all places of a repeated run count. ``grams`` are
+    the longer grams hot anchors are taken apart by; the last one is a whole run.
+    """
+    found = store(occurrences(docs, runs), "occurrences")
+    grouped = store(classes(found), "classes")
+    spans = [whole_contexts(_members(found, grouped, later_only), runs)]
+    contexts = store(shipped(docs, grouped.filter("contexts > 1"), runs), "contexts")
+    for gram in [*grams, None]:
+        spans.append(compare(contexts.filter("NOT hot"), runs.gram))
+        hot = contexts.filter("hot")
+        if gram is None or hot.isEmpty():
+            return spans
+        finer = replace(runs, gram=gram)
+        # Anchors close to each other can give a document's part twice; a place counts once.
+        once = ["anchor", "digest", "doc_id", "key", "pos"]
+        parts = store(_parts(hot, runs, finer).dropDuplicates(once), "parts")
+        first = F.struct("doc_id", "pos", "key", "start")
+        each = parts.groupBy("anchor", "digest").agg(
+            F.count("*").alias("n"),
+            F.min(first).alias("first"),
+            F.min_by("context", first).alias("context"),
+        )
+        each = store(each, "part_classes")
+        several = each.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+        members = _members(parts, each, later_only)
+        spans.append(members.select("doc_id", "key", "start", "end"))
+        contexts = store(
+            each.join(several, "anchor").select(
+                (F.col("contexts") > runs.most).alias("hot"), "anchor", "first.doc_id",
+                "first.key", "first.pos", "first.start", "context",
+            ),
+            "contexts",
+        )
+        runs = finer
+    return spans
+
+
+def _members(found: DataFrame, grouped: DataFrame, later_only: bool) -> DataFrame:
+    """Places in classes of several, without the first place of each if asked."""
+    joined = found.join(
+        grouped.filter("n > 1").select("anchor", "digest", "first"), ["anchor", "digest"]
+    )
+    if not later_only:
+        return joined
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
+        F.col("pos") == F.col("first.pos")
+    )
+    return joined.filter(~is_first)
 
 
 def by_anchor(batches, names: list[str]):
@@ -259,7 +354,12 @@ def spans_by_document(docs: DataFrame, spans: list[DataFrame], store: Staging) -
             F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")),
             "left",
         )
-        .select("doc_id", "text", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
+        .select(
+            "doc_id",
+            "text",
+            F.col("spans.start").alias("starts"),
+            F.col("spans.end").alias("ends"),
+        )
     )
 
 

@@ -6,10 +6,10 @@ the same anchor, and what reaches 20 words is kept as a maximal repeat. A word g
 covers it starts earlier in the corpus: in a smaller document id, or earlier in the same document.
 Equal contexts are one class, whose first member alone is extended; the others are repeats of it.
 
-Defined results: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a null text has none. Runs are judged
-on the input. Null ids come before all others. Rows that repeat an id count as one document: a
-place is not earlier than itself. Extra columns are not read. Words are compared by 64-bit hashes,
-runs of hot anchors by 128-bit ones.
+Defined results: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a null text has none. Runs are
+judged on the input. Null ids come before all others. Rows that repeat an id count as one document:
+a place is not earlier than itself. Extra columns are not read. Words are compared by 64-bit
+hashes, equal contexts by 64-bit digests under their anchor's.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ import hashlib
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from claimlink.llm.common import arrow_schema, batch, fields, staging, texts, words
 from claimlink.llm.decontaminate import shingle_hashes, word_hashes
@@ -26,20 +25,20 @@ from claimlink.llm.repeats import (
     SPANS,
     Runs,
     by_anchor,
-    classes,
     merged,
-    occurrences,
-    shipped,
+    resolve,
     smallest_of_windows,
     spans_by_document,
-    whole_contexts,
 )
 
 LEAST_WORDS = 20
 GRAM_WORDS = 6
+HOT_CONTEXTS = 256
 
 
-def word_runs(least: int = LEAST_WORDS, gram: int = GRAM_WORDS) -> Runs:
+def word_runs(
+    least: int = LEAST_WORDS, gram: int = GRAM_WORDS, most: int = HOT_CONTEXTS
+) -> Runs:
     def units(text: bytes) -> bytes:
         return word_hashes(words(text)).tobytes()
 
@@ -48,7 +47,7 @@ def word_runs(least: int = LEAST_WORDS, gram: int = GRAM_WORDS) -> Runs:
         p = smallest_of_windows(h, least - gram + 1)
         return p, h[p]
 
-    return Runs(least, gram, 8, units, anchors)
+    return Runs(least, gram, 8, units, anchors, most)
 
 
 def _common(rows: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -87,47 +86,36 @@ def extended(group: list[tuple], least: int, gram: int) -> list[tuple]:
     return out
 
 
-def later_spans(docs: DataFrame, least: int = LEAST_WORDS, gram: int = GRAM_WORDS
-                ) -> list[DataFrame]:
+def later_spans(
+    docs: DataFrame,
+    least: int = LEAST_WORDS,
+    gram: int = GRAM_WORDS,
+    most: int = HOT_CONTEXTS,
+) -> list[DataFrame]:
     """Spans of words (may overlap) that repeat earlier runs."""
-    store, runs = staging(docs.sparkSession), word_runs(least, gram)
-    found = store(occurrences(docs, runs), "occurrences")
-    grouped = store(classes(found), "classes")
-    members = found.join(
-        grouped.filter("n > 1").select("anchor", "digest", "first"), ["anchor", "digest"]
-    ).filter(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos")))
-    )
-    parts = store(shipped(docs, grouped.filter("contexts > 1"), runs), "contexts")
+    store, runs = staging(docs.sparkSession), word_runs(least, gram, most)
     names = ["anchor", "doc_id", "key", "pos", "start", "context"]
     schema = arrow_schema(SPANS)
 
-    def extend(batches):
-        rows = []
-        for group in by_anchor(batches, names):
-            rows += extended(group, least, gram)
-            if len(rows) >= 10_000:
+    def compare(contexts: DataFrame, gram: int) -> DataFrame:
+        def extend(batches):
+            rows = []
+            for group in by_anchor(batches, names):
+                rows += extended(group, least, gram)
+                if len(rows) >= 10_000:
+                    yield batch(schema, list(zip(*rows, strict=True)))
+                    rows = []
+            if rows:
                 yield batch(schema, list(zip(*rows, strict=True)))
-                rows = []
-        if rows:
-            yield batch(schema, list(zip(*rows, strict=True)))
-
-    seeds = (
-        parts.filter("NOT hot").select(*names)
-        .repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(extend, SPANS)
-    )
-    windows = parts.filter("hot").select("anchor", "part", "doc_id", "key", "start").distinct()
-    first = windows.groupBy("anchor", "part").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    apart = (
-        windows.join(first, ["anchor", "part"])
-        .filter(
-            ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-              & (F.col("start") == F.col("first.start")))
+
+        return (
+            contexts.select(*names)
+            .repartition("anchor").sortWithinPartitions("anchor")
+            .mapInArrow(extend, SPANS)
         )
-        .select("doc_id", "key", "start", (F.col("start") + least).alias("end"))
-    )
-    return [whole_contexts(members, runs), seeds, apart]
+
+    grams = [least - (least - gram) // 4, least]
+    return resolve(docs, runs, grams, compare, later_only=True, store=store)
 
 
 REMOVED = fields(
@@ -136,7 +124,10 @@ REMOVED = fields(
 
 
 def remove_later_repeats(
-    docs: DataFrame, least: int = LEAST_WORDS, gram: int = GRAM_WORDS
+    docs: DataFrame,
+    least: int = LEAST_WORDS,
+    gram: int = GRAM_WORDS,
+    most: int = HOT_CONTEXTS,
 ) -> DataFrame:
     """Words, removed words and the digest of what remains, for every document."""
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
@@ -160,4 +151,5 @@ def remove_later_repeats(
                              hashlib.sha256(b" ".join(kept)).hexdigest()))
             yield batch(schema, [b.column("doc_id"), *(list(zip(*rows, strict=True)) or [()] * 3)])
 
-    return spans_by_document(docs, later_spans(docs, least, gram), store).mapInArrow(cut, REMOVED)
+    spans = later_spans(docs, least, gram, most)
+    return spans_by_document(docs, spans, store).mapInArrow(cut, REMOVED)

@@ -19,25 +19,22 @@ import hashlib
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from claimlink.llm.common import arrow_schema, batch, fields, staging, texts
 from claimlink.llm.repeats import (
     SPANS,
     Runs,
     by_anchor,
-    classes,
     merged,
-    occurrences,
-    shipped,
+    resolve,
     smallest_of_windows,
     spans_by_document,
-    whole_contexts,
 )
 from claimlink.llm.suffix_array import common_prefixes, suffix_array
 
 LEAST_BYTES = 400
-GRAM_BYTES = 160
+GRAM_BYTES = 300
+HOT_CONTEXTS = 4_000  # half a shard
 SHARD_BYTES = 4_000_000
 SEGMENT = 1 << 19
 SEPARATOR = 255  # occurs in no UTF-8 text
@@ -52,7 +49,9 @@ def _powers(n: int, factor: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def byte_runs(least: int = LEAST_BYTES, gram: int = GRAM_BYTES) -> Runs:
+def byte_runs(
+    least: int = LEAST_BYTES, gram: int = GRAM_BYTES, most: int = HOT_CONTEXTS
+) -> Runs:
     tables = {}
 
     def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +75,7 @@ def byte_runs(least: int = LEAST_BYTES, gram: int = GRAM_BYTES) -> Runs:
         _, once = np.unique(positions, return_index=True)  # a segment's edge may give one twice
         return positions[once], hashes[once]
 
-    return Runs(least, gram, 1, lambda text: text, anchors)
+    return Runs(least, gram, 1, lambda text: text, anchors, most)
 
 
 def repeated_starts(contexts: list[tuple], least: int) -> list[tuple]:
@@ -85,7 +84,9 @@ def repeated_starts(contexts: list[tuple], least: int) -> list[tuple]:
     A context is (anchor, doc_id, key, start, bytes). Contexts of one document that overlap are laid
     over each other first, so a place is in the shard once.
     """
-    contexts = sorted({c[1:] for c in contexts}, key=lambda c: (c[0] is not None, c[0] or 0, *c[1:3]))
+    contexts = sorted(
+        {c[1:] for c in contexts}, key=lambda c: (c[0] is not None, c[0] or 0, *c[1:3])
+    )
     parts: list[list] = []  # doc_id, key, start, bytes
     for doc_id, key, start, text in contexts:
         last = parts[-1] if parts else None
@@ -113,14 +114,15 @@ def repeated_starts(contexts: list[tuple], least: int) -> list[tuple]:
     return out
 
 
-def repeated_spans(docs: DataFrame, least: int = LEAST_BYTES, gram: int = GRAM_BYTES,
-                   shard_bytes: int = SHARD_BYTES) -> list[DataFrame]:
+def repeated_spans(
+    docs: DataFrame,
+    least: int = LEAST_BYTES,
+    gram: int = GRAM_BYTES,
+    most: int = HOT_CONTEXTS,
+    shard_bytes: int = SHARD_BYTES,
+) -> list[DataFrame]:
     """Spans (may overlap) that cover exactly the bytes of repeated strings."""
-    store, runs = staging(docs.sparkSession), byte_runs(least, gram)
-    found = store(occurrences(docs, runs), "occurrences")
-    grouped = store(classes(found), "classes")
-    several = found.join(grouped.filter("n > 1").select("anchor", "digest"), ["anchor", "digest"])
-    parts = store(shipped(docs, grouped.filter("contexts > 1"), runs), "contexts")
+    store, runs = staging(docs.sparkSession), byte_runs(least, gram, most)
     names = ["anchor", "doc_id", "key", "start", "context"]
     schema = arrow_schema(SPANS)
 
@@ -141,17 +143,16 @@ def repeated_spans(docs: DataFrame, least: int = LEAST_BYTES, gram: int = GRAM_B
         if waiting:
             yield from settle()
 
-    sorted_spans = (
-        parts.filter("NOT hot").select(*names)
-        .repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(shards, SPANS)
-    )
-    windows = parts.filter("hot").select("anchor", "part", "doc_id", "key", "start").distinct()
-    twice = windows.groupBy("anchor", "part").count().filter("count > 1")
-    apart = windows.join(twice, ["anchor", "part"]).select(
-        "doc_id", "key", "start", (F.col("start") + least).alias("end")
-    )
-    return [whole_contexts(several, runs), sorted_spans, apart]
+    def compare(contexts: DataFrame, _: int) -> DataFrame:
+        return (
+            contexts.select(*names)
+            .repartition("anchor").sortWithinPartitions("anchor")
+            .mapInArrow(shards, SPANS)
+        )
+
+    side = least - gram
+    grams = [least - side // 5, least - side // 25, least]
+    return resolve(docs, runs, grams, compare, later_only=False, store=store)
 
 
 REMOVED = fields(
@@ -160,7 +161,12 @@ REMOVED = fields(
 )
 
 
-def remove_repeats(docs: DataFrame, least: int = LEAST_BYTES, gram: int = GRAM_BYTES) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    least: int = LEAST_BYTES,
+    gram: int = GRAM_BYTES,
+    most: int = HOT_CONTEXTS,
+) -> DataFrame:
     """Sizes, removed spans and the digest of what remains, for every document."""
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
     store = staging(docs.sparkSession)
@@ -182,4 +188,5 @@ def remove_repeats(docs: DataFrame, least: int = LEAST_BYTES, gram: int = GRAM_B
                              digest.hexdigest()))
             yield batch(schema, [b.column("doc_id"), *(list(zip(*rows, strict=True)) or [()] * 4)])
 
-    return spans_by_document(docs, repeated_spans(docs, least, gram), store).mapInArrow(cut, REMOVED)
+    spans = repeated_spans(docs, least, gram, most)
+    return spans_by_document(docs, spans, store).mapInArrow(cut, REMOVED)
