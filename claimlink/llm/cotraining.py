@@ -168,7 +168,9 @@ class Model:
     def views(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probability of a good document, a column per view."""
         z = [v.logit(x) for v in (self.text, self.meta)]
-        return np.column_stack([_sigmoid(a * w[0] + w[1]) for a, w in zip(z, self.own, strict=True)])
+        return np.column_stack(
+            [_sigmoid(a * w[0] + w[1]) for a, w in zip(z, self.own, strict=True)]
+        )
 
     def score(self, x: np.ndarray) -> np.ndarray:
         p = np.clip(self.views(x), 1e-6, 1 - 1e-6)

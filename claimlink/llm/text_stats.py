@@ -67,12 +67,10 @@ def lexicon_keys(word: bytes) -> tuple[bytes, ...]:
     return (bare, bare[:4] + b"*", bare[:5] + b"*") if len(bare) > 4 else (bare,)
 
 
-def count_flagged(tokens: list[bytes], lexicon: frozenset[bytes]) -> int:
+def count_flagged(frequency: Counter[bytes], lexicon: frozenset[bytes]) -> int:
     if not lexicon:
         return 0
-    return sum(
-        n for w, n in Counter(tokens).items() if any(k in lexicon for k in lexicon_keys(w))
-    )
+    return sum(n for w, n in frequency.items() if any(k in lexicon for k in lexicon_keys(w)))
 
 
 def counts(text: bytes, lexicon: frozenset[bytes] = frozenset()) -> list[int]:
@@ -81,9 +79,6 @@ def counts(text: bytes, lexicon: frozenset[bytes] = frozenset()) -> list[int]:
     tokens = words(text)
     joined = b"".join(tokens)
     frequency = Counter(tokens)
-    flagged = sum(
-        n for w, n in frequency.items() if any(k in lexicon for k in lexicon_keys(w))
-    ) if lexicon else 0
     return [
         len(tokens),
         len(joined.translate(None, _CONTINUATION)),
@@ -94,7 +89,7 @@ def counts(text: bytes, lexicon: frozenset[bytes] = frozenset()) -> list[int]:
         len(frequency),
         sum(a == b for a, b in zip(tokens, tokens[1:], strict=False)),
         len(text) - len(text.translate(None, b"0123456789")),
-        flagged,
+        count_flagged(frequency, lexicon),
     ]
 
 
@@ -189,8 +184,9 @@ def learn_lexicon(
             some = keys[at : at + 10_000]
             yield batch(schema, [some, [good[k] for k in some], [bad[k] for k in some]])
 
-    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").filter(
-        F.col("doc_id").isin(list(sample)) if len(sample) <= 100 else _listed(sample)
+    ids = docs.sparkSession.createDataFrame([(i,) for i in sample], "doc_id long")
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").join(
+        F.broadcast(ids), "doc_id", "left_semi"  # at most MAX_LABELLED rows
     )
     summed = (
         chosen.mapInArrow(count, WORDS)
@@ -206,8 +202,3 @@ def learn_lexicon(
     )
     return frozenset(bytes(r.key) for r in rows)
 
-
-def _listed(sample: dict[int, int]) -> Column:
-    """Ids of the sample (bounded by ``MAX_LABELLED``) as a filter that needs no shuffle."""
-    ids = F.lit(np.array(sorted(sample), dtype=np.int64))
-    return F.array_contains(ids, F.col("doc_id"))
