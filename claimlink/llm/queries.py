@@ -61,8 +61,8 @@ WITH item AS (
     SELECT item_id, w, least(5, len(w)) AS k FROM item WHERE len(w) > 0
 ), item_shingle AS (
     SELECT DISTINCT item_id, k,
-        unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))
-        AS shingle
+        unnest(list_transform(range(1, len(w) - k + 2),
+            lambda i: array_to_string(w[i:i + k - 1], ' '))) AS shingle
     FROM sized
 ), total AS (SELECT item_id, count(*) AS n FROM item_shingle GROUP BY item_id
 ), document AS (
@@ -71,8 +71,8 @@ WITH item AS (
     FROM documents
 ), document_shingle AS (
     SELECT DISTINCT doc_id, k,
-        unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))
-        AS shingle
+        unnest(list_transform(range(1, len(w) - k + 2),
+            lambda i: array_to_string(w[i:i + k - 1], ' '))) AS shingle
     FROM document, (SELECT DISTINCT k FROM sized) AS sizes
     WHERE len(w) >= k
 ), hit AS (

@@ -341,13 +341,12 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def mask_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents with every span replaced by ``[kind]``; ``n_chars`` follows the text."""
     machines = compiled(rules)
-    schema = arrow_schema(docs.schema)
-    names = docs.columns
 
     def mask(batches):
         for b in batches:
             raw = b.column("text").cast(pa.binary()).to_pylist()
-            clean, sizes = [], b.column("n_chars").to_pylist() if "n_chars" in names else None
+            sizes = b.column("n_chars").to_pylist() if "n_chars" in b.schema.names else None
+            clean = []
             for i, text in enumerate(raw):
                 spans = spans_of(text, rules, machines) if text else []
                 if spans:
@@ -360,9 +359,7 @@ def mask_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                     if sizes is not None:
                         sizes[i] = len(text.decode())
                 clean.append(None if text is None else text.decode())
-            new = {"text": clean, "n_chars": sizes}
-            yield batch(schema, [
-                new[f.name] if new.get(f.name) is not None else b.column(f.name) for f in schema
-            ])
+            new = {"text": clean} if sizes is None else {"text": clean, "n_chars": sizes}
+            yield batch(b.schema, [new.get(name, b.column(name)) for name in b.schema.names])
 
     return docs.mapInArrow(mask, docs.schema)
