@@ -17,22 +17,24 @@ from __future__ import annotations
 import math
 import os
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlink.llm.common import arrow_schema, batch, fields, staging, texts
+from claimlink.llm.common import arrow_schema, batch, fields, staging
 
 CAPACITY = 1024
 END_ID = 2
 SHARD_PIECES = 40_000
 SEARCH_SEQUENCES = 4_000  # emptiest sequences of a shard the search starts from, per round
 SEARCH_ROUNDS = 2
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 SEGMENT = 1_000_000
 
 PIECES = fields(
@@ -44,6 +46,21 @@ PIECES = fields(
 )
 
 
+def _usual_parts() -> re.Pattern:
+    """How a byte-level vocabulary parts a text of the usual characters: contractions, then
+    letters, digits or other marks with a blank in front, then blanks."""
+    usual = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x250))]
+    letters = "".join(c for c in usual if unicodedata.category(c)[0] == "L")
+    digits = "".join(c for c in usual if unicodedata.category(c)[0] == "N")
+    blank = "\t\n\r "
+    kinds = [f"[{letters}]", f"[{digits}]", f"[^{letters}{digits}{blank}]"]
+    return re.compile(
+        "'(?:s|t|re|ve|m|ll|d)|"
+        + "|".join(f" ?{k}+" for k in kinds)
+        + f"|[{blank}]+(?![^{blank}])|[{blank}]+"
+    )
+
+
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes.
 
@@ -53,23 +70,27 @@ class Encoder:
     strings are ordinary text.
     """
 
-    def __init__(self, path: str | None, cached: int = CACHED_WORDS):
+    def __init__(
+        self,
+        path: str | None = None,
+        cached: int = CACHED_WORDS,
+        cache: dict[str, bytes] | None = None,
+    ):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
         self.tokenizer.encode_special_tokens = True
-        self.parts = regex.compile(public_tokenizers.PATTERN)
+        self.parts = _usual_parts()
         self.unusual = re.compile("[^\t\n\r -~¡-ɏ]")
         self.blank = re.compile(r"(?<=[^\t\n\r ])[\t\n\r ]")
         self.cached = cached
-        self.cache: dict[str, bytes] = {}
+        self.cache = {} if cache is None else cache
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return np.array(ids, "<u4").tobytes()
 
     def _segments(self, text: str) -> Iterable[str]:
         """Parts of bounded size, cut where a blank follows something else: no part spans that."""
@@ -89,15 +110,34 @@ class Encoder:
 
     def _segment(self, text: str) -> bytes:
         parts = self.parts.findall(text)
-        known = self.cache
-        new = list({p for p in parts if p not in known})
-        if new:
-            encoded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            if len(known) + len(new) > self.cached:
-                self.cache = known = {}
-            for p, e in zip(new, encoded, strict=True):
-                known[p] = b"".join([i.to_bytes(4, "little") for i in e.ids])
-        return b"".join([known[p] for p in parts])
+        ids = list(map(self.cache.get, parts))
+        if None in ids:
+            places = [k for k, i in enumerate(ids) if i is None]
+            new = {parts[k] for k in places}
+            if len(self.cache) + len(new) > self.cached:
+                self.cache.clear()
+            self._learn_words([p for p in new if p[0] == " " and p[1:].isalpha()])
+            self._learn([p for p in new if p not in self.cache])
+            for k in places:
+                ids[k] = self.cache[parts[k]]
+        return b"".join(ids)
+
+    def _learn(self, parts: list[str]) -> None:
+        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        for p, e in zip(parts, encoded, strict=True):
+            self.cache[p] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words behind a blank are parted again when they are strung together: one call for all."""
+        if not words:
+            return
+        encoded = self.tokenizer.encode("".join(words), add_special_tokens=False)
+        ids, numbers = np.array(encoded.ids, "<u4").tobytes(), np.array(encoded.word_ids)
+        starts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+        if len(starts) == len(words):
+            ends = np.append(starts[1:], len(numbers))
+            for w, a, b in zip(words, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
+                self.cache[w] = ids[a:b]
 
 
 def pieces_of(total: int, capacity: int) -> list[tuple[int, int]]:
@@ -114,16 +154,18 @@ def tokenized_pieces(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of all documents."""
     schema = arrow_schema(PIECES)
+    # Empty: a Python worker keeps its copy, and its later tasks find the words of earlier ones.
+    known = docs.sparkSession.sparkContext.broadcast({})
 
     def tokenize(batches):
-        encode = Encoder(path)
+        encode = Encoder(path, cache=known.value)
         end = end_id.to_bytes(4, "little")
         for b in batches:
             rows = []
             for doc_id, text in zip(
-                b.column("doc_id").to_pylist(), texts(b.column("text")), strict=True
+                b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True
             ):
-                ids = encode(text.decode()) + end
+                ids = encode(text or "") + end
                 for k, (start, length) in enumerate(pieces_of(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
                     rows.append((doc_id, k, start, length, crc))

@@ -68,7 +68,7 @@ def test_no_documents(no_documents):
 
 def test_long_text_in_segments(monkeypatch, tokenizer):
     monkeypatch.setattr(packing, "SEGMENT", 100)
-    encode = packing.Encoder(None, cached=50)
+    encode = packing.Encoder(cached=50)
     rng = random.Random(3)
     for text in (prose(rng, 500), "a  b\n\n c\t" * 80, "no blank" + "x" * 400, "it's\n'll " * 50):
         ids = tokenizer.encode(text, add_special_tokens=False).ids
