@@ -25,7 +25,6 @@ from claimlink.functions import (  # noqa: E402
     completeness_label,
     concat_key,
     final_value,
-    presence_flags,
 )
 from claimlink.operators.antijoin import not_in  # noqa: E402
 from claimlink.operators.base import (  # noqa: E402
@@ -978,7 +977,8 @@ def _(c):
     return quality.lost_claims(c.a_rest, c.b_rest, keys=EXACT_KEYS)
 
 
-def _report(table: str, runs: tuple[str, ...]) -> str:
+def report_sql(table: str, runs: tuple[str, ...]) -> str:
+    """All checks over a run's final table, without the steps before it."""
     parts = [
         "SELECT 'distinct_claims' AS check_name, 'before' AS item,"
         " count(DISTINCT claim_id) AS amount FROM claim_line",
@@ -1001,13 +1001,13 @@ def _report(table: str, runs: tuple[str, ...]) -> str:
         parts.append(
             f"SELECT 'lost_claims', 'scenario_{scenario}', count(*) FROM ({lost}) AS lost"
         )
-    return oracle.with_steps(" UNION ALL ".join(parts))
+    return " UNION ALL ".join(parts)
 
 
 def _report_query(name: str, table: str, flags: tuple[int, ...]) -> None:
     runs = tuple(r for r, flag in oracle.RUNS.items() if flag in flags)
 
-    @_query(name, _report(table, runs))
+    @_query(name, oracle.with_steps(report_sql(table, runs)))
     def _(c):
         i = c.inputs
         raw_ids = i.treatment.select(F.col("treatment_claim_id").alias("claim_id")).union(
