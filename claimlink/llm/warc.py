@@ -15,7 +15,8 @@ time.
 
 Defined results: a null payload is empty. Of equal payloads the record with the largest page id is
 the response (null ids are smallest), among equal ids the one with the largest record id. Repeated
-rows are records of their own. A null or odd URL is written as empty or percent-encoded. Extra
+rows are records of their own. A null URL has no header line,
+blanks and control characters in one are percent-encoded. Extra
 columns are not read. Unlike a crawler's archives, the block is the HTTP head and the payload; dates
 are the time of writing.
 """
