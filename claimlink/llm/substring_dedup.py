@@ -1,6 +1,6 @@
 """Substring dedup: seed and extend over runs of 20 words.
 
-Seeds are winnowed anchors of six words (``repeats``). Documents meet on equal anchors; from the
+Seeds are winnowed anchors of ten words (``repeats``). Documents meet on equal anchors; from the
 seed, matches are extended word by word to the left and to the right against the earlier places of
 the same anchor, and what reaches 20 words is kept as a maximal repeat. A word goes if a run that
 covers it starts earlier in the corpus: in a smaller document id, or earlier in the same document.
@@ -32,7 +32,7 @@ from claimlink.llm.repeats import (
 )
 
 LEAST_WORDS = 20
-GRAM_WORDS = 6
+GRAM_WORDS = 10
 HOT_CONTEXTS = 256
 
 
