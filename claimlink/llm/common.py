@@ -16,8 +16,13 @@ BYTES_PER_BATCH = "16m"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Run-time settings, with small Arrow batches: a batch of texts must fit a worker's memory."""
+    """Run-time settings, with small Arrow batches: a batch of texts must fit a worker's memory.
+
+    Shuffle files go when the step that wrote them is stored, not when the driver happens to
+    collect its garbage.
+    """
     configure(spark)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     return spark
