@@ -266,10 +266,10 @@ def resolve(
     """
     found = store(occurrences(docs, runs), "occurrences")
     grouped = store(classes(found), "classes")
-    spans = [whole_contexts(_members(found, grouped, later_only), runs)]
+    spans = [store(whole_contexts(_members(found, grouped, later_only), runs), "spans")]
     contexts = store(shipped(docs, grouped.filter("contexts > 1"), runs), "contexts")
     for gram in [*grams, None]:
-        spans.append(compare(contexts.filter("NOT hot"), runs.gram))
+        spans.append(store(compare(contexts.filter("NOT hot"), runs.gram), "spans"))
         hot = contexts.filter("hot")
         if gram is None or hot.isEmpty():
             return spans
@@ -286,7 +286,7 @@ def resolve(
         each = store(each, "part_classes")
         several = each.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
         members = _members(parts, each, later_only)
-        spans.append(members.select("doc_id", "key", "start", "end"))
+        spans.append(store(members.select("doc_id", "key", "start", "end"), "spans"))
         contexts = store(
             each.join(several, "anchor").select(
                 (F.col("contexts") > runs.most).alias("hot"), "anchor", "first.doc_id",
