@@ -163,10 +163,17 @@ def classes(found: DataFrame) -> DataFrame:
     the anchor has."""
     first = F.min(F.struct("doc_id", "pos", "key", "units")).alias("first")
     each = found.groupBy("anchor", "digest").agg(F.count("*").alias("n"), first)
-    per_anchor = each.groupBy("anchor").agg(
-        F.count("*").alias("contexts"), F.sum("n").alias("places")
-    )
-    return each.join(per_anchor.filter("places > 1"), "anchor")
+    counts = _per_anchor(each, F.count("*").alias("contexts"), F.sum("n").alias("places"))
+    return each.join(counts.filter("places > 1"), "anchor")
+
+
+def _per_anchor(each: DataFrame, *measures: Column) -> DataFrame:
+    """Measures of every anchor.
+
+    Grouping by a digest as well changes the partitioning, not the result: the counts then reach a
+    join by a shuffle of their own, which adaptive execution needs to split hot anchors.
+    """
+    return each.groupBy("anchor", F.xxhash64("anchor").alias("_h")).agg(*measures).drop("_h")
 
 
 CONTEXTS = fields(
@@ -284,7 +291,7 @@ def resolve(
             F.min_by("context", first).alias("context"),
         )
         each = store(each, "part_classes")
-        several = each.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+        several = _per_anchor(each, F.count("*").alias("contexts")).filter("contexts > 1")
         members = _members(parts, each, later_only)
         spans.append(store(members.select("doc_id", "key", "start", "end"), "spans"))
         contexts = store(
