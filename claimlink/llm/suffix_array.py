@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-THIN_BUCKET = 30  # symbols per bucket below which the recursion sorts directly
+THIN_BUCKET = 100  # symbols per bucket below which the recursion sorts directly
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:

@@ -1,7 +1,7 @@
 """Suffix-array dedup: every byte covered by a 400-byte string that starts twice anywhere goes.
 
 Winnowed anchors (``repeats``) say where repeated strings can lie and bring their contexts
-together: all contexts of an anchor reach the same shard. A shard, a few MB, concatenates its
+together: all contexts of an anchor reach the same shard. A shard, a megabyte or so, concatenates its
 contexts, sorts all its suffixes by induced sorting (``suffix_array``) and computes permuted common
 prefixes; a place whose suffix shares ``least`` bytes with a neighbour in the array, inside its own
 context, starts a repeated string. Contexts that occur several times as a whole are repeated by
@@ -34,8 +34,8 @@ from claimlink.llm.suffix_array import common_prefixes, suffix_array
 
 LEAST_BYTES = 400
 GRAM_BYTES = 300
-HOT_CONTEXTS = 4_000  # half a shard
-SHARD_BYTES = 4_000_000
+HOT_CONTEXTS = 1_000  # half a shard
+SHARD_BYTES = 1_000_000
 SEGMENT = 1 << 19
 SEPARATOR = 255  # occurs in no UTF-8 text
 
