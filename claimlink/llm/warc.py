@@ -214,8 +214,13 @@ def resolve_revisits(
         .agg(F.count("*").alias("n"), F.max(F.struct("page_id", "record_id")).alias("original"))
         .filter("n > 1")
     )
-    revisits = headers.join(originals, same).filter("record_id != original.record_id").select(
-        "record_id", F.col("original.record_id").alias("original_id")
+    # Stored, so that Spark knows the size: few revisits go to the records without a shuffle of all
+    # payloads, many meet them in one.
+    revisits = store(
+        headers.join(originals, same).filter("record_id != original.record_id").select(
+            "record_id", F.col("original.record_id").alias("original_id")
+        ),
+        "revisits",
     )
     records = read_archive(spark, source, payload=True).drop("refers_to")
     joined = records.join(revisits, "record_id", "left")
