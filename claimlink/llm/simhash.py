@@ -160,7 +160,7 @@ def shard_masks(distance: int = DISTANCE, blocks: int = BLOCKS) -> list[int]:
 
 
 LINKS = fields(("a", "long"), ("b", "long"))
-KEPT_SETS = 500_000
+KEPT_SETS = 100_000
 
 
 def near_links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:

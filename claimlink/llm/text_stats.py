@@ -17,6 +17,7 @@ from claimlink.llm.common import arrow_schema, batch, fields, texts, words
 
 MAX_LABELLED = 20_000
 MAX_LEXICON = 5_000
+COUNTED_KEYS = 100_000  # a task holds at a time
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -174,15 +175,23 @@ def learn_lexicon(
 
     def count(batches):
         good, bad = Counter(), Counter()
+
+        def flush():
+            keys = list(good.keys() | bad.keys())
+            for at in range(0, len(keys), 10_000):
+                some = keys[at : at + 10_000]
+                yield batch(schema, [some, [good[k] for k in some], [bad[k] for k in some]])
+            good.clear()
+            bad.clear()
+
         for b in batches:
             ids = b.column("doc_id").to_pylist()
             for i, text in zip(ids, texts(b.column("text")), strict=True):
                 keys = {k for w in set(words(text)) for k in lexicon_keys(w)}
                 (bad if sample.get(i) else good).update(keys)
-        keys = list(good.keys() | bad.keys())
-        for at in range(0, len(keys), 10_000):
-            some = keys[at : at + 10_000]
-            yield batch(schema, [some, [good[k] for k in some], [bad[k] for k in some]])
+                if len(good) + len(bad) > COUNTED_KEYS:  # the sums follow; memory stays bounded
+                    yield from flush()
+        yield from flush()
 
     ids = docs.sparkSession.createDataFrame([(i,) for i in sample], "doc_id long")
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").join(
