@@ -78,6 +78,7 @@ def write_archive(records: DataFrame, folder: str) -> None:
         records.select(record.alias("value"))
         .write.option("lineSep", END + END)
         .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .mode("errorifexists")
         .text(folder)
