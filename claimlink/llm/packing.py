@@ -19,8 +19,9 @@ import os
 import re
 import unicodedata
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -32,8 +33,6 @@ from claimlink.llm.common import arrow_schema, batch, fields, staging
 CAPACITY = 1024
 END_ID = 2
 SHARD_PIECES = 40_000
-SEARCH_SEQUENCES = 4_000  # emptiest sequences of a shard the search starts from, per round
-SEARCH_ROUNDS = 2
 CACHED_WORDS = 1_000_000
 SEGMENT = 1_000_000
 
@@ -205,82 +204,90 @@ class Bins:
                 room[self.free[b]].append(b)
                 there |= 1 << self.free[b]
 
-    def improve(self, sequences: int = SEARCH_SEQUENCES, rounds: int = SEARCH_ROUNDS) -> None:
-        """Exchanges between underfull sequences, from the emptiest up."""
-        for _ in range(rounds):
-            under = sorted((b for b, f in enumerate(self.free) if f), key=lambda b: -self.free[b])
-            self.holders = defaultdict(set)  # length -> underfull sequences with such a piece
-            self.roomy = defaultdict(set)  # free places -> underfull sequences
-            for b in under:
-                self.roomy[self.free[b]].add(b)
-                for k in self.held[b]:
-                    self.holders[self.lengths[k]].add(b)
+    def improve(self) -> None:
+        """Exchanges between underfull sequences, from the emptiest up, until none is left."""
+        self.offering = defaultdict(set)  # (room, less) -> sequences offering it, see _offers
+        self.offered = [0] * (self.capacity + 1)  # by room; bit l: (room, l) is offered
+        for b, free in enumerate(self.free):
+            if free:
+                self._offer(b)
+        changed = True
+        while changed:
             changed = False
-            for b in under[:sequences]:
-                for k in sorted(self.held[b], key=lambda k: -self.lengths[k]):
-                    changed |= k in self.held[b] and self._leave(b, k)
-            if not changed:
-                break
-
-    def _fill(self, b: int) -> int:
-        return self.capacity - self.free[b]
-
-    def _leave(self, a: int, k: int) -> bool:
-        """Try to get piece ``k`` out of sequence ``a``, at least in exchange for less."""
-        size = self.lengths[k]
-        for room in range(size, self.capacity):  # a move
-            for b in self.roomy.get(room, ()):
-                if b != a and self._fill(b) + size > self._fill(a):
-                    return self._swap(a, [k], b, [])
-        widest = max((r for r, s in self.roomy.items() if s), default=0)
-        for less in range(min(widest, size - 1), 0, -1):  # one for one
-            for b in self.holders.get(size - less, ()):
-                if b != a and self.free[b] >= less and self._fill(b) + less > self._fill(a):
-                    other = next(j for j in self.held[b] if self.lengths[j] == size - less)
-                    return self._swap(a, [k], b, [other])
-        for room in range(1, min(widest, size - 2) + 1):  # two for one, the fullest first
-            for b in list(self.roomy.get(room, ()))[:4]:
-                if b == a or len(self.held[b]) < 2:
+            under = (b for b, f in enumerate(self.free) if f and self.held[b])
+            for a in sorted(under, key=lambda b: -self.free[b]):
+                if not self.free[a]:  # full since
                     continue
-                pair = self._pair(b, size - room, size - 1)
-                if pair:
-                    less = size - sum(self.lengths[j] for j in pair)
-                    if self._fill(b) + less > self._fill(a):
-                        return self._swap(a, [k], b, pair)
+                self._withdraw(a)
+                while self._leave(a):
+                    changed = True
+                self._offer(a)
+
+    def _offers(self, b: int) -> Iterable[int]:
+        """The sizes that none, one or two pieces of a sequence have together: what it can give
+        back. As much room as that and its free places is then there for another piece."""
+        held = Counter(self.lengths[k] for k in self.held[b])
+        sizes = {0, *held, *(2 * n for n, times in held.items() if times > 1)}
+        return sizes.union(x + y for x, y in combinations(held, 2))
+
+    def _offer(self, b: int) -> None:
+        if self.held[b] and self.free[b]:  # empty ones are gone, full ones out of the search
+            for less in self._offers(b):
+                room = self.free[b] + less
+                self.offering[room, less].add(b)
+                self.offered[room] |= 1 << less
+
+    def _withdraw(self, b: int) -> None:
+        for less in self._offers(b):
+            room = self.free[b] + less
+            self.offering[room, less].discard(b)
+            if not self.offering[room, less]:
+                del self.offering[room, less]
+                self.offered[room] &= ~(1 << less)
+
+    def _leave(self, a: int) -> bool:
+        """Get a piece out of sequence ``a`` in exchange for as little as there is, if any raises
+        the squares: the room it goes to must be less than the piece and ``a``'s free places."""
+        for k in sorted(self.held[a], key=lambda k: -self.lengths[k]):
+            size = self.lengths[k]
+            smaller = (1 << size) - 1
+            best = None
+            for room in range(size, min(size + self.free[a], self.capacity + 1)):
+                fits = self.offered[room] & smaller
+                if fits:
+                    less = (fits & -fits).bit_length() - 1
+                    if best is None or less < best[1]:
+                        best = room, less
+                    if not less:  # a move
+                        break
+            if best:
+                b = next(iter(self.offering[best]))
+                self._swap(a, k, b, self._pieces(b, best[1]))
+                return True
         return False
 
-    def _pair(self, b: int, least: int, most: int) -> list[int]:
-        held = self.held[b][:32]
-        for i, j in enumerate(held):
-            for other in held[i + 1 :]:
-                if least <= self.lengths[j] + self.lengths[other] <= most:
-                    return [j, other]
-        return []
-
-    def _swap(self, a: int, out: list[int], b: int, back: list[int]) -> bool:
-        for s in (a, b):
-            self.roomy[self.free[s]].discard(s)
-        for k in out + back:
-            source, target = (a, b) if k in out else (b, a)
-            self.held[source].remove(k)
-            self.held[target].append(k)
-            self.free[source] += self.lengths[k]
-            self.free[target] -= self.lengths[k]
-        for s in (a, b):
-            if self.held[s] and self.free[s]:
-                self.roomy[self.free[s]].add(s)
-        for k in out + back:
-            size = self.lengths[k]
-            for s in (a, b):
-                if self.free[s] and any(self.lengths[j] == size for j in self.held[s]):
-                    self.holders[size].add(s)
-                else:
-                    self.holders[size].discard(s)
-        for s in (a, b):
-            if not self.free[s]:  # full: out of the search
-                for k in self.held[s]:
-                    self.holders[self.lengths[k]].discard(s)
-        return True
+    def _pieces(self, b: int, size: int) -> list[int]:
+        """No, one or two pieces of a sequence with this size together."""
+        if not size:
+            return []
+        at: dict[int, int] = {}
+        for k in self.held[b]:
+            if self.lengths[k] == size:
+                return [k]
+        for k in self.held[b]:
+            if size - self.lengths[k] in at:
+                return [at[size - self.lengths[k]], k]
+            at[self.lengths[k]] = k
+        raise AssertionError("not offered")
+
+    def _swap(self, a: int, k: int, b: int, back: list[int]) -> None:
+        self._withdraw(b)
+        less = self.lengths[k] - sum(self.lengths[j] for j in back)
+        self.held[a] = [j for j in self.held[a] if j != k] + back
+        self.held[b] = [j for j in self.held[b] if j not in back] + [k]
+        self.free[a] += less
+        self.free[b] -= less
+        self._offer(b)
 
 
 def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list[int]]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -113,6 +114,49 @@ def test_search_keeps_all_pieces_and_never_needs_more():
         assert max(o + n for o, n in zip(offset, lengths, strict=True)) <= 100
 
 
+def exchanges_left(bins) -> int:
+    """Exchanges for none, one or two smaller pieces that would raise the sum of squared fills."""
+    under = [b for b, f in enumerate(bins.free) if f and bins.held[b]]
+    left = 0
+    for a in under:
+        for b in under:
+            held = [bins.lengths[k] for k in bins.held[b]]
+            back = {0, *held, *(x + y for x, y in combinations(held, 2))}
+            for size in {bins.lengths[k] for k in bins.held[a]} if a != b else ():
+                rest = {bins.free[b] - size + less for less in back if less < size}
+                left += any(0 <= r < bins.free[a] for r in rest)
+    return left
+
+
+@pytest.mark.parametrize("least, most", [(1, 100), (15, 30), (25, 45), (30, 60)])
+def test_search_ends_only_when_no_exchange_is_left(least, most):
+    rng = random.Random(4)
+    bins = packing.Bins([rng.randrange(least, most) for _ in range(600)], 100)
+    bins.best_fit()
+    bins.improve()
+    assert sorted(k for h in bins.held for k in h) == list(range(600))
+    assert exchanges_left(bins) == 0
+
+
+def test_search_sees_pieces_far_back_in_a_sequence():
+    """Only the last two of 42 pieces make room for the other sequence's one."""
+    lengths = [1] * 40 + [20, 25, 50]
+    bins = packing.Bins(lengths, 90)
+    bins.held, bins.free = [list(range(42)), [42]], [5, 40]
+    bins.improve()
+    assert sorted(bins.free) == [0, 45]
+
+
+def test_search_starts_from_every_underfull_sequence():
+    """5,000 emptier sequences have no exchange; the two behind them have."""
+    lengths = [60] * 5_000 + [45, 50, 46, 49]
+    bins = packing.Bins(lengths, 100)
+    bins.held = [[k] for k in range(5_000)] + [[5_000, 5_001], [5_002, 5_003]]
+    bins.free = [40] * 5_000 + [5, 5]
+    bins.improve()
+    assert sorted(bins.free[5_000:]) == [1, 9]
+
+
 def test_usual_parts_are_the_vocabularys():
     import regex
 
