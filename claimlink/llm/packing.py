@@ -1,9 +1,9 @@
 """Best-fit packing of tokenised documents into sequences of fixed capacity.
 
 Documents become token ids (a public tokenizer's file, one end id behind each document); those
-longer than a sequence are cut into whole sequences, the remainder first. Pieces are stored and
-dealt by hash into shards of about ``SHARD_PIECES``, so a shard is bounded whatever the corpus, and
-hot sources or copies spread evenly. A shard is packed by best fit from the longest piece down and
+longer than a sequence are cut into whole sequences, the remainder first. Pieces are stored with a
+row number and dealt by its hash into shards of about ``SHARD_PIECES``, so a shard is bounded
+whatever the corpus, and hot sources, copies, repeated rows and null ids spread evenly. A shard is packed by best fit from the longest piece down and
 then improved by a local search: from the emptiest sequence up, pieces leave for other underfull
 sequences by a move, by exchange for one smaller piece, or for two smaller pieces. Every exchange
 raises the sum of squared fills, so the search ends; a sequence that runs empty is gone.
@@ -313,7 +313,10 @@ def pack(
 ) -> DataFrame:
     """One row per piece with its ``sequence_id`` and ``offset`` there."""
     spark = docs.sparkSession
-    pieces = staging(spark)(tokenized_pieces(docs, capacity, end_id, path), "pieces")
+    numbered = tokenized_pieces(docs, capacity, end_id, path).withColumn(
+        "row", F.monotonically_increasing_id()
+    )
+    pieces = staging(spark)(numbered, "pieces")  # stored: a row keeps its number
     shards = max(1, math.ceil(pieces.count() / shard_pieces))
     packed = fields(("shard", "int"), *[(f.name, "int" if f.name == "piece" else "long")
                                         for f in PIECES], ("sequence_id", "long"),
@@ -325,9 +328,10 @@ def pack(
         base = int(rows["shard"].iloc[0]) << 40
         return rows.assign(sequence_id=[base + s for s in sequence], offset=offset)
 
-    deal = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int")
+    deal = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
     return (
         pieces.withColumn("shard", deal)
+        .drop("row")
         .groupBy("shard")
         .applyInPandas(pack_shard, packed)
         .drop("shard")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -63,6 +63,15 @@ def test_several_shards(sample_documents, tokenizer):
     check(rows, pairs(sample_documents), tokenizer)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_id_are_dealt_to_all_shards(session, tokenizer, doc_id):
+    docs = session.createDataFrame([(doc_id, "one two")] * 300, "doc_id long, text string")
+    rows = packing.pack(docs, shard_pieces=50).collect()
+    check(rows, pairs(docs), tokenizer)
+    held = Counter(r.sequence_id >> 40 for r in rows)
+    assert len(held) == 6 and max(held.values()) < 100
+
+
 def test_no_documents(no_documents):
     assert packing.pack(no_documents).collect() == []
 
