@@ -192,7 +192,11 @@ def shipped(docs: DataFrame, several: DataFrame, runs: Runs) -> DataFrame:
                      (F.col("contexts") > runs.most).alias("hot"))
         ).alias("wanted")
     )
-    joined = docs.select("doc_id", "text", text_key(F.col("text")).alias("key")).join(
+    rows = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
+    place = ["doc_id", "key"]
+    if not rows.groupBy(*place).count().filter("count > 1").isEmpty():
+        rows = rows.dropDuplicates(place)  # repeated rows would ship the same places again
+    joined = rows.join(
         wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     )
     schema, w = arrow_schema(CONTEXTS), runs.width

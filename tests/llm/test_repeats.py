@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from llm_helpers import DOCUMENT, pairs, prose, same
 
-from claimlink.llm import suffix_array, substring_dedup, suffix_dedup
+from claimlink.llm import repeats, suffix_array, substring_dedup, suffix_dedup
+from claimlink.llm.common import staging
 from claimlink.llm.repeats import smallest_of_windows
 
 
@@ -50,6 +51,21 @@ def test_suffix_dedup_on_odd_documents(odd_documents):
     same(suffix_dedup.remove_repeats(odd_documents), every_repeat(pairs(odd_documents), 400))
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_repeated_rows_ship_each_place_once(session, doc_id):
+    rng = random.Random(12)
+    passage = prose(rng, 200)
+    texts = [f"{prose(rng, 30)} {passage} {prose(rng, 30)}" for _ in range(2)]
+    rows = [(doc_id, texts[0])] * 40 + [(6, texts[1])] * 40
+    docs = session.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    runs, store = suffix_dedup.byte_runs(), staging(session)
+    grouped = store(repeats.classes(repeats.occurrences(docs, runs)), "classes")
+    contexts = repeats.shipped(docs, grouped.filter("contexts > 1"), runs)
+    places = [(r.anchor, r.doc_id, r.key, r.pos) for r in contexts.collect()]
+    assert len(places) == len(set(places)) > 0
+    same(suffix_dedup.remove_repeats(docs), every_repeat(pairs(docs), 400))
+
+
 def test_suffix_dedup_on_the_sample(sample_documents):
     same(suffix_dedup.remove_repeats(sample_documents), every_repeat(pairs(sample_documents), 400))
 
