@@ -16,7 +16,8 @@ the fingerprints of all documents, which must not pass through the driver.
 Defined results: texts are lower-cased (A-Z); fewer words than a shingle give one shingle, no words
 (null, empty, blank) the fingerprint zero, which links like any other. ``component_id`` is the
 smallest document id of the group, null if all its ids are null. Repeated rows get equal results.
-``keep_one_each`` keeps one row of the smallest id; rows without an id are not judged and stay.
+``keep_one_each`` keeps one row of each group, of the smallest id; rows that share an id are judged
+by their own group each, rows without an id are not judged and stay.
 Extra columns pass through it and are not read otherwise.
 """
 
@@ -26,12 +27,15 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlink.llm.common import arrow_schema, batch, fields, staging, texts, words
 from claimlink.llm.graph import components
+from claimlink.sources.tables import Staging
 
 SHINGLE_WORDS = 3
 DISTANCE = 2
@@ -221,11 +225,10 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS
     )
 
 
-def near_duplicates(
-    docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE, blocks: int = BLOCKS
-) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row."""
-    store = staging(docs.sparkSession)
+def _grouped(
+    docs: DataFrame, size: int, distance: int, blocks: int, store: Staging
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, print) of every row; (print, root, component_id) of every fingerprint."""
     prints = store(fingerprints(docs, size), "prints")
     first = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
     links = store(near_links(first.select("print"), distance, blocks), "links")
@@ -234,7 +237,15 @@ def near_duplicates(
         "root", F.coalesce("root", "print")
     )
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = store(grouped.join(smallest, "root").select("print", "component_id"), "groups")
+    named = grouped.join(smallest, "root").select("print", "root", "component_id")
+    return prints, store(named, "groups")
+
+
+def near_duplicates(
+    docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE, blocks: int = BLOCKS
+) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row."""
+    prints, named = _grouped(docs, size, distance, blocks, staging(docs.sparkSession))
     return prints.join(named, "print").select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -246,23 +257,43 @@ def keep_one_each(
     docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE, blocks: int = BLOCKS
 ) -> DataFrame:
     """The documents without all but one of every group."""
-    found = near_duplicates(docs, size, distance, blocks)
     store = staging(docs.sparkSession)
-    # Rows that share an id but not a group are judged by the id's smallest group.
+    prints, named = _grouped(docs, size, distance, blocks, store)
+    known = prints.filter("doc_id IS NOT NULL")
+    same_id = docs["doc_id"].cast("long") == F.col("_id")
     dropped = store(
-        found.filter("doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("component_id").alias("component_id"))
+        known.join(named, "print")
         .filter("component_id < doc_id")
-        .select("doc_id"),
+        .select(F.col("doc_id").alias("_id")).distinct(),
         "dropped",
     )
-    kept = docs.join(dropped.withColumnRenamed("doc_id", "_dropped"),
-                     docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
-    twice = (
-        found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    )
+    twice = known.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
     if twice.isEmpty():
-        return kept
-    known = kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return known.unionAll(kept.filter(F.col("doc_id").isNull()))
+        return docs.join(dropped, same_id, "left_anti")
+    # Rows that share an id are judged by their own text's group, and each group keeps one row.
+    twice = store(twice, "twice")
+    once = docs.join(twice, same_id, "left_anti").join(dropped, same_id, "left_anti")
+    groups = named.select(
+        F.col("print").alias("_print"), F.col("root").alias("_root"),
+        F.col("component_id").alias("_component"),
+    )
+    several = (
+        _with_prints(docs.join(twice, same_id, "left_semi"), size)
+        .join(groups, "_print")
+        .filter(F.col("doc_id").cast("long") == F.col("_component"))
+        .dropDuplicates(["_root"])
+    )
+    return once.unionAll(several.select(*docs.columns))
+
+
+def _with_prints(docs: DataFrame, size: int) -> DataFrame:
+    """The documents and their fingerprint, ``_print``."""
+    out = T.StructType([*docs.schema, T.StructField("_print", T.LongType())])
+
+    def measure(batches):
+        for b in batches:
+            prints = [fingerprint(shingle_hashes(t, size)) for t in texts(b.column("text"))]
+            signed = pa.array(np.array(prints, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*b.columns, signed], [*b.schema.names, "_print"])
+
+    return docs.mapInArrow(measure, out)

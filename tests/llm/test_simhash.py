@@ -79,6 +79,16 @@ def test_one_of_each_group_stays(session, odd_documents):
     assert ids.count(None) == 1
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_group(session):
+    rng = random.Random(15)
+    copied, *own = [prose(rng, 100) for _ in range(4)]
+    rows = [(3, copied), (7, copied), *[(7, own[0])] * 2, (7, own[1]), (8, own[1]), (9, own[2])]
+    docs = session.createDataFrame([(i, t, "", "", 0) for i, t in rows], DOCUMENT).repartition(3)
+    kept = simhash.keep_one_each(docs)
+    assert kept.schema == docs.schema
+    same(kept, [(i, t, "", "", 0) for i, t in (rows[0], rows[2], rows[4], rows[6])])
+
+
 def test_no_documents(no_documents):
     assert simhash.near_duplicates(no_documents).collect() == []
     assert simhash.keep_one_each(no_documents).collect() == []
