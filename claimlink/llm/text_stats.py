@@ -132,14 +132,15 @@ def labelled_ids(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -
     """(doc_id, bad) of at most ``most`` labelled documents.
 
     ``bad`` is 1 for quality 0 or toxic 1. A document labelled differently in several rows counts
-    as bad; labels without a document, a null id or a null quality are left out.
+    as bad; labels without a document, a null id, or a null quality and not toxic 1 are left out.
     """
     toxic = F.coalesce(F.col("toxic"), F.lit(0)) if "toxic" in labels.columns else F.lit(0)
     judged = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+        labels.filter(F.col("doc_id").isNotNull() & (F.col("quality").isNotNull() | (toxic == 1)))
         .select(
             F.col("doc_id").cast("long").alias("doc_id"),
-            ((F.col("quality") == 0) | (toxic == 1)).cast("int").alias("bad"),
+            (F.coalesce(F.col("quality") == 0, F.lit(False)) | (toxic == 1))
+            .cast("int").alias("bad"),
         )
         .groupBy("doc_id")
         .agg(F.max("bad").alias("bad"))

@@ -147,6 +147,15 @@ def test_odd_inputs(session, odd_documents, no_documents, labels):
     assert known == {7: 1, 14: 1}
 
 
+def test_toxic_labels_without_a_quality_count_as_bad(session, odd_documents):
+    odd = session.createDataFrame(
+        [(0, None, 1), (7, None, 0), (14, None, None), (21, 1, None), (28, None, 1), (28, 1, 0)],
+        LABELS,
+    )
+    known = {r.doc_id: r.bad for r in text_stats.labelled_ids(odd_documents, odd).collect()}
+    assert known == {0: 1, 21: 0, 28: 1}
+
+
 def test_lexicon(session):
     good = [(i, f"plain words only nr{i} here") for i in range(30)]
     bad = [(100 + i, f"plain nasty{i}, words Awful! here") for i in range(30)]
