@@ -1,15 +1,15 @@
 """Quality classifier by co-training on two views of a document.
 
 One classifier sees the text (counts, and words that mark bad labelled texts), the other the
-page's metadata (language, source, length, and how many documents its source has). Each starts
-from the labelled documents. In every round each view scores all unlabelled documents and hands
-those it is most certain of to the other view as pseudo-labels; certain means a calibrated
-probability beyond ``CONFIDENT`` on either side. At last both scores are calibrated on held-out
-labels and combined, and every document is scored.
+page's metadata (language, source, length; how many documents a source has is not counted). Each
+starts from the labelled documents. In every round each view scores all unlabelled documents and
+hands those it is certain of to the other view as pseudo-labels, at most ``MAX_PSEUDO`` by hash of
+the id; certain means a calibrated probability beyond ``CONFIDENT`` on either side. At last
+both scores are calibrated on held-out labels and combined, and every document is scored.
 
 Both views are logistic models over binned features, fitted on the driver on at most
-``MAX_LABELLED`` labelled and, per round, ``MAX_PSEUDO`` pseudo-labelled rows. Statistics, source
-counts, candidate scores and final scores cover all documents.
+``MAX_LABELLED`` labelled and, per round, ``MAX_PSEUDO`` pseudo-labelled rows. Statistics,
+candidate scores and final scores cover all documents.
 
 Defined results: a null text has no words; null metadata is a value of its own. Without labels, or
 with one class only, the score is 0.5 and all documents are kept. Repeated rows are scored alike
