@@ -10,6 +10,7 @@ from claimlink.llm import (
     cotraining,
     decontaminate,
     packing,
+    prefix_bpe,
     quality_rules,
     secret_scan,
     simhash,
@@ -17,6 +18,7 @@ from claimlink.llm import (
     suffix_dedup,
     url_filter,
     warc,
+    whitening,
 )
 from claimlink.llm.common import prepare, table
 
@@ -169,3 +171,13 @@ def _(spark, folder):
 @_query("op10_secret_scan")
 def _(spark, folder):
     return secret_scan.find_secrets(table(spark, folder, "documents"))
+
+
+@_query("op12_embedding_whitening")
+def _(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@_query("op13_bpe_encoding")
+def _(spark, folder):
+    return prefix_bpe.digests(prefix_bpe.encode_documents(table(spark, folder, "documents")))
