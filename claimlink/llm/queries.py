@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimlink.llm import (
     cotraining,
     decontaminate,
+    hard_negatives,
     packing,
     prefix_bpe,
     quality_rules,
@@ -173,6 +175,43 @@ def _(spark, folder):
     return secret_scan.find_secrets(table(spark, folder, "documents"))
 
 
+_HARD_NEGATIVES_SQL = """
+WITH taking AS (
+    SELECT DISTINCT vec_id,
+        CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS INTEGER) AS label,
+        list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), anchor AS (SELECT * FROM taking WHERE vec_id % 50 = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+        CAST(list_inner_product(a.x, r.x) AS BIGINT) AS score
+    FROM anchor AS a, taking AS r WHERE a.vec_id <> r.vec_id
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@_query("op11_hard_negatives", _HARD_NEGATIVES_SQL)
+def _(spark, folder):
+    embeddings = table(spark, folder, "embeddings")
+    label = F.col("label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    taking = hard_negatives.labelled_vectors(embeddings, moved)
+    return hard_negatives.mine(taking, lambda vec_id: vec_id % 50 == 0)
+
+
 @_query("op12_embedding_whitening")
 def _(spark, folder):
     return whitening.whiten(table(spark, folder, "embeddings"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,8 +31,10 @@ def matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
 
-def matrices(batches: Iterable[pa.RecordBatch], name: str = "x") -> Iterable[np.ndarray]:
-    return (matrix(b.column(name)) for b in batches if b.num_rows)
+def as_lists(values: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
 
 
 def most_common_length(df: DataFrame, name: str = "x") -> int:
