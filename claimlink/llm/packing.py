@@ -65,8 +65,8 @@ class Encoder:
 
     Byte-level vocabularies first part a text by a fixed pattern and merge inside the parts only, so
     the ids of a part are looked up, and encoded once per part. Texts with characters for which
-    Unicode versions or blanks could part differently go to the tokenizer whole. Special tokens'
-    strings are ordinary text.
+    Unicode versions or blanks could part differently, or with the string of an added token, which
+    is one id, go to the tokenizer whole.
     """
 
     def __init__(
@@ -80,7 +80,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-        self.tokenizer.encode_special_tokens = True
+        added = (t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.parts = _usual_parts()
         self.unusual = re.compile("[^\t\n\r -~¡-ɏ]")
         self.blank = re.compile(r"(?<=[^\t\n\r ])[\t\n\r ]")
@@ -103,7 +104,7 @@ class Encoder:
         yield text[at:] if at else text
 
     def __call__(self, text: str) -> bytes:
-        if self.unusual.search(text):
+        if self.unusual.search(text) or self.added.search(text):
             return self._whole(text)
         return b"".join(map(self._segment, self._segments(text)))
 

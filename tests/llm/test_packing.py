@@ -18,9 +18,7 @@ from claimlink.llm import packing
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check(rows, docs, tokenizer, capacity=1024):
@@ -85,6 +83,21 @@ def test_long_text_in_segments(monkeypatch, tokenizer):
         assert encode(text) == np.array(ids, "<u4").tobytes()
 
 
+def test_added_tokens_are_one_id(monkeypatch, tokenizer):
+    """In the middle, at both ends, side by side, incomplete, and across the edge of a segment."""
+    end = "<|endoftext|>"
+    assert 50256 in tokenizer.encode(f"x {end} y", add_special_tokens=False).ids
+    rng = random.Random(7)
+    texts = [f"x {end} y", end, f"{end}start", f"stop{end}", f"{end}{end} {end}", end[:-1],
+             f"{end[:5]} {end[5:]}", end.upper(), f"{prose(rng, 400)} {end}{prose(rng, 400)}"]
+    for segment in (10, 40, 1_000_000):
+        monkeypatch.setattr(packing, "SEGMENT", segment)
+        encode = packing.Encoder()
+        for text in texts:
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+            assert encode(text) == np.array(ids, "<u4").tobytes()
+
+
 @pytest.mark.parametrize("total", [1, 1023, 1024, 1025, 2048, 5000])
 def test_pieces_cover_a_document(total):
     pieces = packing.pieces_of(total, 1024)
