@@ -37,6 +37,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns, like ``names`` but taken by no column of ``df`` in any case."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from re import _parser as regex_syntax
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from claimlink.llm.common import arrow_schema, batch, fields, texts
 
 ALL_BYTES = (1 << 256) - 1
+SEGMENT = 1 << 18  # bytes whose starts a task holds at a time
 
 
 @dataclass(frozen=True)
@@ -238,16 +239,29 @@ def compiled(rules: tuple[Rule, ...]) -> tuple[Automaton, list[Automaton]]:
 
 
 # ---------------------------------------------------------------- scanning
-def starts_of(text: bytes, machine: Automaton) -> list[tuple[int, int]]:
-    """(start, rules) of all places where a match starts, from the last to the first."""
-    step, accepting, state = machine.step, machine.accepting, machine.start
-    found, place = [], len(text)
-    for c in text.translate(machine.classes)[::-1]:
-        place -= 1
-        state = step[state + c]
-        if state >= accepting:
-            found.append((place, machine.marks[state]))
-    return found
+def starts_of(text: bytes, machine: Automaton) -> Iterator[tuple[int, int]]:
+    """(start, rules) of all places where a match starts, from the first to the last.
+
+    The automaton reads from the end. A long text is read once for the states at the segments'
+    ends, then segment by segment from the first, so that only one segment's starts are held.
+    """
+    step, accepting, marks = machine.step, machine.accepting, machine.marks
+    cuts = range(0, len(text), SEGMENT)
+    states = [machine.start] * len(cuts)  # with which the scan comes into each segment
+    for k in reversed(range(1, len(cuts))):
+        state = states[k]
+        for c in text[cuts[k] : cuts[k] + SEGMENT].translate(machine.classes)[::-1]:
+            state = step[state + c]
+        states[k - 1] = state
+    for at, state in zip(cuts, states, strict=True):
+        segment = text[at : at + SEGMENT].translate(machine.classes)
+        found, place = [], at + len(segment)
+        for c in segment[::-1]:
+            place -= 1
+            state = step[state + c]
+            if state >= accepting:
+                found.append((place, marks[state]))
+        yield from reversed(found)
 
 
 def longest(text: bytes, start: int, machine: Automaton) -> int:
@@ -274,7 +288,7 @@ def spans_of(text: bytes, rules: tuple[Rule, ...], machines) -> list[tuple[int,
     """(start, end, rule) in bytes, by start and rule."""
     every, forward = machines
     spans, free = [], [0] * len(rules)
-    for start, marks in reversed(starts_of(text, every)):
+    for start, marks in starts_of(text, every):
         for k, rule in enumerate(rules):
             if marks >> k & 1 and start >= free[k]:
                 free[k] = end = longest(text, start, forward[k])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlink.llm.common import arrow_schema, batch, fields, staging, texts, words
+from claimlink.llm.common import arrow_schema, batch, fields, fresh, staging, texts, words
 from claimlink.llm.graph import components
 from claimlink.sources.tables import Staging
 
@@ -258,42 +258,44 @@ def keep_one_each(
 ) -> DataFrame:
     """The documents without all but one of every group."""
     store = staging(docs.sparkSession)
+    other_id, own_print, root, component = fresh(docs, "id", "print", "root", "component")
     prints, named = _grouped(docs, size, distance, blocks, store)
     known = prints.filter("doc_id IS NOT NULL")
-    same_id = docs["doc_id"].cast("long") == F.col("_id")
+    same_id = docs["doc_id"].cast("long") == F.col(other_id)
     dropped = store(
         known.join(named, "print")
         .filter("component_id < doc_id")
-        .select(F.col("doc_id").alias("_id")).distinct(),
+        .select(F.col("doc_id").alias(other_id)).distinct(),
         "dropped",
     )
-    twice = known.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
+    ids = known.groupBy(F.col("doc_id").alias(other_id)).agg(F.count(F.lit(1)).alias("rows"))
+    twice = ids.filter("rows > 1").select(other_id)
     if twice.isEmpty():
         return docs.join(dropped, same_id, "left_anti")
     # Rows that share an id are judged by their own text's group, and each group keeps one row.
     twice = store(twice, "twice")
     once = docs.join(twice, same_id, "left_anti").join(dropped, same_id, "left_anti")
     groups = named.select(
-        F.col("print").alias("_print"), F.col("root").alias("_root"),
-        F.col("component_id").alias("_component"),
+        F.col("print").alias(own_print), F.col("root").alias(root),
+        F.col("component_id").alias(component),
     )
     several = (
-        _with_prints(docs.join(twice, same_id, "left_semi"), size)
-        .join(groups, "_print")
-        .filter(F.col("doc_id").cast("long") == F.col("_component"))
-        .dropDuplicates(["_root"])
+        _with_prints(docs.join(twice, same_id, "left_semi"), size, own_print)
+        .join(groups, own_print)
+        .filter(F.col("doc_id").cast("long") == F.col(component))
+        .dropDuplicates([root])
     )
     return once.unionAll(several.select(*docs.columns))
 
 
-def _with_prints(docs: DataFrame, size: int) -> DataFrame:
-    """The documents and their fingerprint, ``_print``."""
-    out = T.StructType([*docs.schema, T.StructField("_print", T.LongType())])
+def _with_prints(docs: DataFrame, size: int, name: str) -> DataFrame:
+    """The documents and their fingerprint under ``name``."""
+    out = T.StructType([*docs.schema, T.StructField(name, T.LongType())])
 
     def measure(batches):
         for b in batches:
             prints = [fingerprint(shingle_hashes(t, size)) for t in texts(b.column("text"))]
             signed = pa.array(np.array(prints, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*b.columns, signed], [*b.schema.names, "_print"])
+            yield pa.RecordBatch.from_arrays([*b.columns, signed], [*b.schema.names, name])
 
     return docs.mapInArrow(measure, out)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import subprocess
+import sys
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,3 +114,30 @@ def test_masking(session, odd_documents):
                                  "doc_id long, text string, n_chars long")
     rows = {r.doc_id: (r.text, r.n_chars) for r in secret_scan.mask_secrets(df).collect()}
     assert rows == {1: ("é [assign] and [access]", 23), 2: (None, None), 3: ("plain", 99)}
+
+
+def test_segments_of_long_texts(monkeypatch, odd_texts):
+    machines = compiled(RULES)
+    whole = [spans_of((t or "").encode(), RULES, machines) for t in odd_texts]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(secret_scan, "SEGMENT", size)
+        for t, want in zip(odd_texts, whole, strict=True):
+            if len(t or "") < 5000:
+                assert spans_of((t or "").encode(), RULES, machines) == want
+
+
+def test_a_very_long_secret_takes_memory_for_a_segment_only(repository):
+    """50 MB of hex digits: every place is a start."""
+    code = """if 1:
+        import resource
+        from claimlink.llm.secret_scan import RULES, compiled, spans_of
+        machines, text = compiled(RULES), b"0123456789abcdef" * 3_200_000
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        spans = spans_of(text, RULES, machines)
+        after = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        assert [(a, b, RULES[k].kind) for a, b, k in spans] == [(0, len(text), "hex")]
+        print((after - before) * 1024 / len(text))
+    """
+    done = subprocess.run([sys.executable, "-c", code], cwd=repository, capture_output=True,
+                          text=True, check=True)
+    assert float(done.stdout.split()[-1]) < 3  # a copy of the match, and 25 MB
