@@ -10,7 +10,7 @@ import re
 import sys
 import tempfile
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,18 +26,20 @@ from claimlink.functions import (  # noqa: E402
     concat_key,
     final_value,
 )
-from claimlink.operators.antijoin import not_in  # noqa: E402
+from claimlink.operators.antijoin import ledger_sieve, not_in  # noqa: E402
 from claimlink.operators.base import (  # noqa: E402
     enrich_codes,
     enrich_tokens,
     segment,
     standardize,
+    store_base,
 )
 from claimlink.operators.link import anchor_pairs, exact_pairs, link  # noqa: E402
 from claimlink.operators.match import best_alternatives, best_matches  # noqa: E402
 from claimlink.operators.rank import best_alternative, rank_links, winners  # noqa: E402
 from claimlink.plans import integrate as plan  # noqa: E402
 from claimlink.plans import quality, scenarios  # noqa: E402
+from claimlink.plans.lookup import store_for_lookup, trace_stored  # noqa: E402
 from claimlink.schema import (  # noqa: E402
     CLAIM_COLUMNS,
     CODE_GROUPS,
@@ -106,8 +108,8 @@ class Context:
 
     @cached_property
     def base(self) -> DataFrame:
-        """Both kinds, stored."""
-        return self.staging(self.inputs.all_claims(), "base")
+        """Both kinds, stored in a folder per vendor, anchor and paid flag."""
+        return store_base(self.inputs.all_claims(), self.staging)
 
     @cached_property
     def a(self) -> DataFrame:
@@ -509,7 +511,8 @@ def _(c):
 def _(c):
     used = c.staging(scenarios.ledger_scenario_3(c.a_rest, c.b_rest), "ledger_3")
     keyed = c.a_rest.withColumn("claim_key", claim_key())
-    return not_in(keyed, "claim_key", used).drop("claim_key")
+    sieve = ledger_sieve(used, c.staging)
+    return not_in(keyed, "claim_key", used, sieve=sieve).drop("claim_key")
 
 
 @_query(
@@ -522,9 +525,10 @@ def _(c):
     ),
 )
 def _(c):
-    first, third = c.ledgers()
-    keyed = c.base.withColumn("claim_key", claim_key())
-    return not_in(keyed, "claim_key", first.union(third)).drop("claim_key")
+    used = reduce(DataFrame.union, c.ledgers())
+    keyed = c.base.select(*CLAIM_COLUMNS, claim_key().alias("claim_key"))
+    sieve = ledger_sieve(used, c.staging)
+    return not_in(keyed, "claim_key", used, sieve=sieve).drop("claim_key")
 
 
 @_query(
@@ -570,10 +574,16 @@ _TRACED = ["base", "primary_anchor", "ranked_1_paid", "scenario_1_paid", "scenar
     ),
 )
 def _(c):
-    stored = plan.stage_tables(c.base, staging=c.staging)
-    wanted = stored["scenario_1"].agg(F.min("claim_id")).scalar()
-    tables = {s: stored[s.replace("_paid", "")] for s in _TRACED}
-    found = quality.trace(tables, wanted)
+    stages = {
+        "base": c.base.select(*CLAIM_COLUMNS),
+        "primary_anchor": c.a,
+        "ranked_1_paid": scenarios.ranked_pass_1(c.a, c.b),
+        "scenario_1_paid": scenarios.scenario_1(c.a, c.b),
+        "scenario_3_paid": scenarios.scenario_3(c.a_rest, c.b_rest),
+    }
+    stored = {s: store_for_lookup(stages[s], c.staging, s) for s in _TRACED}
+    (wanted,) = stored["scenario_1_paid"].files.agg(F.min("least")).first()
+    found = trace_stored(stored, wanted)  # without a linked claim: of none
     return found.select("stage", *CLAIM_COLUMNS)
 
 
@@ -1013,8 +1023,9 @@ def _report_query(name: str, table: str, flags: tuple[int, ...]) -> None:
         raw_ids = i.treatment.select(F.col("treatment_claim_id").alias("claim_id")).union(
             i.procedure.select("procedure_claim_id")
         )
+        run = plan.integrate_run(c.base, flags, staging=c.staging)
         return quality.quality_report(
-            raw_ids, c.base, c.integrated(flags), flags, staging=c.staging
+            raw_ids, c.base, run.result, flags, staging=c.staging, run=run
         )
 
 

@@ -9,6 +9,9 @@ comes from an ordinary (shuffled, skew-splittable) anti join plus what SQL says
 
 Which case holds is a scalar subquery over the ledger, so NULL keys never reach the shuffle
 unless they have to come out again.
+
+With a sieve (a Bloom filter of the ledger, see ``operators/sieve.py``) only rows that may be listed
+are shuffled. All others leave by a broadcast join with the filter, wherever they lie.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlink.operators.sieve import Sieve, sieve_of
+from claimlink.sources import Staging
+
 _EMPTY, _PLAIN, _HAS_NULL = 0, 1, 2
 _LEDGER_KEY = "_ledger_key"
 _LEDGER_RUN = "_ledger_run"
@@ -65,6 +71,7 @@ def not_in(
     by: str | None = None,
     values: Sequence[int] | None = None,
     tested: str | None = None,
+    sieve: Sieve | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose ``key`` is NOT IN the one key column of ``ledger``.
 
@@ -72,6 +79,9 @@ def not_in(
     tested against the list of its own value only. ``values`` names the values that occur.
     ``tested`` names a boolean column: rows where it is false stay without a test. The ledger
     may hold a key several times.
+
+    ``sieve`` (see ``ledger_sieve``) holds the ledger's columns; ``df`` is then read twice and
+    should be a stored table.
     """
     if by is None:
         keys = ledger.toDF(_LEDGER_KEY)
@@ -92,7 +102,22 @@ def not_in(
     if tested is not None:
         passes = passes | ~F.col(tested)
         match = match & F.col(tested)
-    return df.filter(passes).join(_distinct(keys), match, "left_anti")
+    rows, listed = df.filter(passes), _distinct(keys)
+    if sieve is None:
+        return rows.join(listed, match, "left_anti")
+    columns = [key] if by is None else [by, key]
+    doubtful = sieve.maybe(rows, columns, None if tested is None else F.col(tested))
+    rest = sieve.surely_not(rows, columns, None if tested is None else F.col(tested))
+    return rest.union(doubtful.join(listed, match, "left_anti"))
+
+
+def ledger_sieve(ledger: DataFrame, staging: Staging, max_bytes: int | None = None) -> Sieve | None:
+    """The sieve of a stored ledger's keys that are not NULL; None for a ledger too long for one.
+
+    A ledger with a run column keeps its column names: they must be those of the rows tested.
+    """
+    keys = ledger.filter(F.col(ledger.columns[-1]).isNotNull())
+    return sieve_of(keys, staging) if max_bytes is None else sieve_of(keys, staging, max_bytes)
 
 
 def not_in_every(

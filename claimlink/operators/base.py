@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlink.functions import null_if_sentinel, only_for, paid_by_source, paid_flag
@@ -13,7 +16,7 @@ from claimlink.schema import (
     DEFAULT_RULES,
     Rules,
 )
-from claimlink.sources import conform, with_common_numbers
+from claimlink.sources import Staging, conform, with_common_numbers
 
 
 def standardize(raw: DataFrame, kind: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -131,11 +134,56 @@ def is_anchor(group1: str = "code_group1"):
     return F.col(group1).isNotNull()
 
 
+PART_VENDOR, PART_ANCHOR = LAYOUT = ["part_vendor", "part_anchor"]
+_OTHER_VENDORS = "other"
+
+
+def _vendor_folder(vendor: str) -> str:
+    return f"vendor-{vendor}"
+
+
+def store_base(
+    base: DataFrame, staging: Staging, rules: Rules = DEFAULT_RULES, name: str = "base"
+) -> DataFrame:
+    """The base claims stored in a folder per vendor, anchor and paid flag.
+
+    ``segment``, ``with_flag`` and a run of one flag then read the folders they need and no others.
+    Two columns behind the claim's name the folder; the paid flag is stored in its name alone.
+    Vendors but the two linked ones share a folder.
+    """
+    folder = F.lit(_OTHER_VENDORS)
+    for label in (rules.primary, rules.secondary):
+        folder = F.when(F.col("datasource") == label, F.lit(_vendor_folder(label))).otherwise(folder)
+    laid_out = base.select(
+        *CLAIM_COLUMNS,
+        folder.alias(PART_VENDOR),
+        is_anchor().cast("int").alias(PART_ANCHOR),
+    )
+    stored = staging.partitioned(laid_out, name, [*LAYOUT, "paid_flag"])
+    return stored.select(*CLAIM_COLUMNS, *LAYOUT)
+
+
+def in_folders(
+    base: DataFrame, vendors: Sequence[str], anchor: bool | None = None
+) -> Column:
+    """Condition on the layout of ``store_base``; true for a table without it.
+
+    It holds for all rows that the same condition on the claim's own columns holds for.
+    """
+    if not set(LAYOUT) <= set(base.columns):
+        return F.lit(True)
+    wanted = F.col(PART_VENDOR).isin(*map(_vendor_folder, vendors), _OTHER_VENDORS)
+    return wanted if anchor is None else wanted & (F.col(PART_ANCHOR) == int(anchor))
+
+
 def segment(vendor: str, anchor: bool, *bases: DataFrame) -> DataFrame:
-    """Anchor or other claims of one vendor, over all given base tables."""
+    """Anchor or other claims of one vendor, over all given base tables.
+
+    A base of ``store_base`` is read from the folders in question only.
+    """
     wanted = (is_anchor() if anchor else ~is_anchor()) & (F.col("datasource") == vendor)
-    parts = [b.select(*CLAIM_COLUMNS).filter(wanted) for b in bases]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.union(part)
-    return result
+    parts = [
+        b.filter(in_folders(b, [vendor], anchor)).select(*CLAIM_COLUMNS).filter(wanted)
+        for b in bases
+    ]
+    return reduce(DataFrame.union, parts)

@@ -2,18 +2,22 @@
 
 ``link`` lists the pairs. ``linked_claims`` only says which claims have a partner: it works on
 one row per key and day, so its cost does not grow with the number of pairs.
+
+Pairs come from a sweep over the days of a key (``operators/sweep.py``). Keys with more claims than
+``CELL_SIDE`` in one band of days are crowded: they are told beforehand by a small aggregate, their
+bands are cut into cells of bounded size, and the cells are joined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlink.functions import abs_days, claim_key, presence_flags
 from claimlink.operators.antijoin import not_in
+from claimlink.operators.sweep import known, sweep
 from claimlink.schema import (
     CLAIM_COLUMNS,
     DAY_TOLERANCE,
@@ -26,6 +30,7 @@ from claimlink.schema import (
 )
 from claimlink.sources import Staging
 
+_ROW = "_row"
 CELL_SIDE = 1000  # claims of either side in one cell of a band: at most a million pairs a task
 
 
@@ -73,6 +78,65 @@ def _in_bands(
     )
 
 
+def crowded_keys(
+    own: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    tolerance: int,
+    staging: Staging,
+    side: int = CELL_SIDE,
+) -> DataFrame | None:
+    """Keys with more than ``side`` claims of either side in one band of days.
+
+    Counted and stored; equal claims count each, so nothing need be made distinct for it. All other
+    keys have at most a few times ``side`` partners in reach of a claim, and at most a calendar
+    of bands.
+    """
+    width = max(tolerance, 1)
+
+    def banded(df: DataFrame, day: str, own_side: bool) -> DataFrame:
+        return df.filter(known(*keys, day)).select(
+            *keys,
+            F.floor(F.unix_date(day) / width).alias("_band"),
+            F.lit(own_side).alias("_is_own"),
+        )
+
+    counts = (
+        banded(own, "dos", True)
+        .union(banded(other, "other_dos", False))
+        .groupBy(*keys, "_band")
+        .agg(F.count_if("_is_own").alias("own"), F.count_if(~F.col("_is_own")).alias("other"))
+    )
+    crowded = staging(
+        counts.filter((F.col("own") > side) | (F.col("other") > side)).select(*keys).distinct(),
+        "crowded",
+    )
+    return None if crowded.isEmpty() else crowded
+
+
+def pairs_in_reach(
+    own: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    tolerance: int,
+    staging: Staging,
+    crowded: DataFrame | None,
+    side: int = CELL_SIDE,
+) -> DataFrame:
+    """``sweep``, with the pairs of the ``crowded_keys`` made cell by cell."""
+    if crowded is None:
+        return sweep(own, other, keys, tolerance)
+    few = [df.join(crowded, list(keys), "left_anti") for df in (own, other)]
+    many = []
+    for name, df in (("crowded_own", own), ("crowded_other", other)):
+        part = df.join(crowded, list(keys), "left_semi").select(*df.columns)
+        # Stored with a number: equal rows then go to different cells, always the same ones.
+        many.append(staging(part.withColumn(_ROW, F.monotonically_increasing_id()), name))
+    hot = hot_bands(*many, keys, tolerance, staging, side)
+    swept = sweep(*few, keys, tolerance)
+    return swept.union(band_join(*many, keys, tolerance, hot).select(*swept.columns))
+
+
 def hot_bands(
     own: DataFrame,
     other: DataFrame,
@@ -113,8 +177,8 @@ def band_join(
     """Inner join on ``keys`` and at most ``tolerance`` days between ``dos`` and ``other_dos``.
 
     ``hot`` (see ``hot_bands``) cuts the named bands into a grid of cells: a claim is in one row
-    or column of cells by hash and meets all cells across, so the pairs of a hot patient, code and
-    day are made by many tasks.
+    or column of cells by hash, of its number if it has one, and meets all cells across, so the
+    pairs of a hot patient, code and day are made by many tasks.
     """
     own, other = _in_bands(own, other, tolerance)
     at = [*keys, "_band"]
@@ -122,7 +186,7 @@ def band_join(
         cells = {"_own_cell": "own_cells", "_other_cell": "other_cells"}
 
         def cut(df: DataFrame, placed: str, across: str) -> DataFrame:
-            row = F.xxhash64(*[F.col(c) for c in df.columns])
+            row = F.xxhash64(*([_ROW] if _ROW in df.columns else df.columns))
             number = {c: F.coalesce(F.col(n), F.lit(1)) for c, n in cells.items()}
             return (
                 df.join(hot, at, "left")
@@ -139,7 +203,7 @@ def band_join(
         own.join(other, at)
         .withColumn("abs_date_diff", abs_days("dos", "other_dos"))
         .filter(F.col("abs_date_diff") <= tolerance)
-        .drop("_band", "_own_cell", "_other_cell")
+        .drop("_band", "_own_cell", "_other_cell", _ROW)
     )
 
 
@@ -159,14 +223,14 @@ def link(
     A pair is a claim and six columns of its partner. DISTINCT over pairs equals DISTINCT on
     each side before the join, where copies shrink in the map tasks.
     """
-    own = drop_listed(with_flag(a, paid), exclude, key_mode).select(*CLAIM_COLUMNS)
-    other = other_side(with_flag(b, paid), keys)
+    staging = staging or Staging(a.sparkSession)
+    own, other = with_flag(a, paid).select(*CLAIM_COLUMNS), other_side(with_flag(b, paid), keys)
+    crowded = crowded_keys(own, other, keys, tolerance, staging)
+    own = drop_listed(own, exclude, key_mode)
     if distinct:
         own, other = own.distinct(), other.distinct()
-    hot = hot_bands(own, other, keys, tolerance, staging or Staging(a.sparkSession))
-    return band_join(own, other, keys, tolerance, hot).select(
-        *CLAIM_COLUMNS, *OTHER_COLUMNS, "abs_date_diff"
-    )
+    pairs = pairs_in_reach(own, other, keys, tolerance, staging, crowded)
+    return pairs.select(*CLAIM_COLUMNS, *OTHER_COLUMNS, "abs_date_diff")
 
 
 def anchor_pairs(
@@ -208,9 +272,8 @@ def linked_days(
     Claims collapse to one row per key and day, map-side first; the window then holds at most
     one row per calendar day.
     """
-    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in (*keys, "dos")])
     days = (
-        claims.filter(known)
+        claims.filter(known(*keys, "dos"))
         .groupBy(*keys, "dos")
         .agg(
             F.max(F.col("datasource") == rules.primary).alias("in_primary"),

@@ -3,9 +3,11 @@
 All claims of one vendor with the same link keys and day meet all claims of the other vendor
 with these keys and a day in reach. The pair order (``PAIR_ORDER``) compares columns of one
 side at a time, so the first pair of such a block is made of the first claim of each side:
-each side shrinks to one row per key and day (in the map tasks first), and only those rows
-are joined. The same holds for "first pair whose attribute is present" and, as a product of
-counts, for the number of pairs.
+each side shrinks to one row per key and day (in the map tasks first). The same holds for
+"first pair whose attribute is present" and, as a product of counts, for the number of pairs.
+
+Both sides' days go through one aggregate and one sweep along the days of a key: no side is copied
+into bands, and which days are linked comes out of the same sweep.
 """
 
 from __future__ import annotations
@@ -15,17 +17,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlink.functions import final_value
-from claimlink.operators.link import band_join, other_side
+from claimlink.functions import abs_days, final_value
+from claimlink.operators.sweep import DAY, OTHER, OWN, in_reach, known
 from claimlink.schema import (
     CLAIM_COLUMNS,
     DAY_TOLERANCE,
+    DEFAULT_RULES,
     FILL_ATTRIBUTES,
     LINK_KEYS,
     OTHER_COLUMNS,
     OTHER_ORDER,
     OWN_ORDER,
     RANK_GROUP,
+    Rules,
 )
 
 # A fill candidate compares like its pair: once these agree, both pairs have the same claim
@@ -41,32 +45,120 @@ _FILL_ORDER = [
 ]
 
 
-def _own_days(claims: DataFrame, keys: Sequence[str], counts: bool) -> DataFrame:
-    """First claim per key and day, and the number of claims there."""
-    rest = [c for c in ["claim_id", *OWN_ORDER, "datasource", "paid_flag"] if c not in keys]
-    measures = [F.min(F.struct(*rest)).alias("own")]
+def met_days(
+    rows: DataFrame,
+    keys: Sequence[str],
+    attributes: Sequence[str],
+    tolerance: int,
+    counts: bool = False,
+) -> DataFrame:
+    """One row per key and day of ``rows`` (key, day, own row, other row; see ``vendor_rows``).
+
+    ``own`` is the day's first claim of the own side (NULL without one), ``is_other`` whether the
+    other side has one, ``near_own`` whether the own side has one in reach, and ``partners`` the
+    days of the other side in reach: the first row overall, and among those with each attribute.
+    A key has at most a calendar of days and a day at most ``2 * tolerance + 1`` partners.
+    """
+    other = F.col(OTHER)
+    measures = [F.min(OWN).alias("own"), F.min(OTHER).alias("first")]
     if counts:
-        measures.append(F.count(F.lit(1)).alias("own_claims"))
-    days = claims.groupBy(*keys, "dos").agg(*measures)
+        measures.append(F.count(OWN).alias("own_claims"))
+    for a in attributes:
+        present = other[f"other_{a}"].isNotNull()
+        measures.append(F.min(F.when(present, other)).alias(f"first_{a}"))
+        if counts:
+            measures.append(F.count_if(present).alias(f"claims_{a}"))
+    days = rows.groupBy(*keys, DAY).agg(*measures)
+    partner = F.struct(
+        F.date_from_unix_date(DAY).alias("other_dos"),
+        "first",
+        *[f"first_{a}" for a in attributes],
+        *[f"claims_{a}" for a in attributes if counts],
+    )
+    reach = in_reach(keys, tolerance)
     return days.select(
-        *[F.col(c) if c in (*keys, "dos") else F.col(f"own.{c}") for c in CLAIM_COLUMNS],
+        *keys,
+        F.date_from_unix_date(DAY).alias("dos"),
+        "own",
         *(["own_claims"] if counts else []),
-        *[k for k in keys if k not in CLAIM_COLUMNS],
+        F.col("first").isNotNull().alias("is_other"),
+        F.max(F.col("own").isNotNull()).over(reach).alias("near_own"),
+        F.collect_list(F.when(F.col("first").isNotNull(), partner)).over(reach).alias("partners"),
     )
 
 
-def _other_days(
-    claims: DataFrame, keys: Sequence[str], attributes: Sequence[str], counts: bool
+def linked_only(met: DataFrame) -> DataFrame:
+    """The days of ``met_days`` with a partner in reach; only own days keep their partners."""
+    has_own = F.col("own").isNotNull()
+    linked = (has_own & (F.size("partners") > 0)) | (F.col("is_other") & F.col("near_own"))
+    return met.filter(linked).withColumn("partners", F.when(has_own, F.col("partners")))
+
+
+def linked_sides(
+    met: DataFrame, keys: Sequence[str], rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
-    """First partner per key and day: overall, and among those with each attribute."""
-    row = F.struct("other_claim_id", *[c for c in OTHER_ORDER if c != "other_dos"])
-    measures = [F.min(row).alias("first")]
-    for a in attributes:
-        present = F.col(f"other_{a}").isNotNull()
-        measures.append(F.min(F.when(present, row)).alias(f"first_{a}"))
-        if counts:
-            measures.append(F.count_if(present).alias(f"claims_{a}"))
-    return claims.groupBy(*keys, "other_dos").agg(*measures)
+    """(keys, dos, datasource) of the vendors' linked days in ``linked_only(met)``."""
+    own = F.col("own").isNotNull() & (F.size("partners") > 0)
+    other = F.col("is_other") & F.col("near_own")
+    sides = F.array_compact(
+        F.array(F.when(own, F.lit(rules.primary)), F.when(other, F.lit(rules.secondary)))
+    )
+    return met.select(*keys, "dos", F.explode(sides).alias("datasource"))
+
+
+def _blocks(met: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every own day with each day of partners in reach."""
+    own = met.schema["own"].dataType.fieldNames()
+    pairs = met.filter(F.col("own").isNotNull()).withColumn("partner", F.explode("partners"))
+    return pairs.select(
+        *keys,
+        "dos",
+        *[F.col(f"own.{c}").alias(c) for c in own],
+        *[c for c in ("own_claims",) if c in met.columns],
+        "partner.*",
+        abs_days("dos", "partner.other_dos").alias("abs_date_diff"),
+    )
+
+
+def _own_row(keys: Sequence[str]) -> Column:
+    """A claim, its columns in the order in which the first one of a day is chosen."""
+    rest = [c for c in ("claim_id", *OWN_ORDER, "datasource", "paid_flag") if c not in keys]
+    return F.struct(*rest)
+
+
+def _other_row() -> Column:
+    rest = [c for c in OTHER_ORDER if c != "other_dos"]
+    return F.struct(
+        *[F.col(c.removeprefix("other_")).alias(c) for c in ("other_claim_id", *rest)]
+    )
+
+
+def vendor_rows(
+    claims: DataFrame, keys: Sequence[str], rules: Rules = DEFAULT_RULES
+) -> DataFrame:
+    """The claims of both vendors as rows of a sweep; the primary vendor's are the own side."""
+    vendor = F.col("datasource")
+    return claims.filter(known(*keys, "dos")).select(
+        *keys,
+        F.unix_date("dos").alias(DAY),
+        F.when(vendor == rules.primary, _own_row(keys)).alias(OWN),
+        F.when(vendor == rules.secondary, _other_row()).alias(OTHER),
+    )
+
+
+def _side_rows(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two tables as the sides of a sweep, whatever vendor their claims name."""
+    parts = []
+    for df, is_own in ((a, True), (b, False)):
+        parts.append(
+            df.filter(known(*keys, "dos")).select(
+                *keys,
+                F.unix_date("dos").alias(DAY),
+                F.when(F.lit(is_own), _own_row(keys)).alias(OWN),
+                F.when(F.lit(not is_own), _other_row()).alias(OTHER),
+            )
+        )
+    return parts[0].union(parts[1])
 
 
 def _candidate(partner: str, order: Sequence[str], tail: Sequence[str]) -> Column:
@@ -100,12 +192,22 @@ def best_matches(
     1 if its own partner has it, else behind all pairs that do. ``distinct`` says whether equal
     pairs count once (as in a DISTINCT pair table) or each; it matters for these ranks only.
     """
-    own, other = a.select(*dict.fromkeys([*CLAIM_COLUMNS, *keys])), other_side(b, keys)
-    if ranks and distinct:
-        own, other = own.distinct(), other.distinct()
-    pairs = band_join(
-        _own_days(own, keys, ranks), _other_days(other, keys, attributes, ranks), keys, tolerance
-    )
+    rows = _side_rows(a, b, keys)
+    if ranks and distinct:  # a row holds all that a pair keeps of its claim
+        rows = rows.distinct()
+    met = met_days(rows, keys, attributes, tolerance, ranks)
+    return best_of(met, keys, attributes, group, ranks)
+
+
+def best_of(
+    met: DataFrame,
+    keys: Sequence[str] = LINK_KEYS,
+    attributes: Sequence[str] = FILL_ATTRIBUTES,
+    group: Sequence[str] = RANK_GROUP,
+    ranks: bool = False,
+) -> DataFrame:
+    """``best_matches`` from the result of ``met_days``."""
+    pairs = _blocks(met, keys)
     carried = [c for c in ("datasource", "paid_flag") if c not in group]
     order = [
         *(c for c in ("abs_date_diff", "claim_id", "other_claim_id", "patient_token_1")),

@@ -14,13 +14,22 @@ per-day counts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlink.functions import presence
-from claimlink.operators.link import band_join, drop_listed, hot_bands, other_side, with_flag
+from claimlink.operators.link import (
+    CELL_SIDE,
+    crowded_keys,
+    drop_listed,
+    other_side,
+    pairs_in_reach,
+    with_flag,
+)
+from claimlink.operators.sweep import sweep
 from claimlink.schema import (
     CLAIM_COLUMNS,
     DAY_TOLERANCE,
@@ -135,7 +144,7 @@ def _hot_groups(
     hot_pairs: int,
 ) -> DataFrame | None:
     """Groups with more pairs than ``hot_pairs``, from counts per key and day."""
-    counts = band_join(
+    counts = sweep(
         own.groupBy(*keys, "dos").agg(F.count(F.lit(1)).alias("own_claims")),
         other.groupBy(*keys, "other_dos").agg(F.count(F.lit(1)).alias("other_claims")),
         keys,
@@ -166,19 +175,30 @@ def rank_links(
 ) -> DataFrame:
     """Pairs of ``link`` with ``rn`` and ``rn_other_<attribute>`` inside (token 2, code, dos)."""
     staging = staging or Staging(a.sparkSession)
-    own = drop_listed(with_flag(a, paid), exclude, key_mode).select(*CLAIM_COLUMNS)
-    other = other_side(with_flag(b, paid), keys)
+    own, other = with_flag(a, paid).select(*CLAIM_COLUMNS), other_side(with_flag(b, paid), keys)
+    # Patient and code alone are coarser than the link keys and than a group without its day: where
+    # they are not crowded, no key is, and a group has a few times ``hot_pairs`` pairs at most.
+    side = min(CELL_SIDE, math.isqrt(hot_pairs))
+    coarse = [c for c in RANK_GROUP if c != "dos"]
+    crowded = crowded_keys(own, other, coarse, tolerance, staging, side)
+    own = drop_listed(own, exclude, key_mode)
     if distinct:
         own, other = own.distinct(), other.distinct()
+    if crowded is None:
+        return _rank_in_windows(sweep(own, other, keys, tolerance), attributes)
+    crowded = crowded_keys(own, other, keys, tolerance, staging)
     hot = _hot_groups(own, other, keys, tolerance, staging, hot_pairs)
-    if hot is None:  # then no band is hot either, or only for days out of reach of each other
-        return _rank_in_windows(band_join(own, other, keys, tolerance), attributes)
+
+    def pairs(own: DataFrame) -> DataFrame:
+        return pairs_in_reach(own, other, keys, tolerance, staging, crowded)
+
+    if hot is None:
+        return _rank_in_windows(pairs(own), attributes)
     # A group's pairs all come from own claims of that group.
-    ordinary = own.join(hot, RANK_GROUP, "left_anti")
-    many = own.join(hot, RANK_GROUP, "left_semi")
-    cells = hot_bands(many, other, keys, tolerance, staging)
-    return _rank_in_windows(band_join(ordinary, other, keys, tolerance), attributes).union(
-        _rank_in_ranges(band_join(many, other, keys, tolerance, cells), attributes, staging)
+    ordinary = own.join(hot, RANK_GROUP, "left_anti").select(*own.columns)
+    many = own.join(hot, RANK_GROUP, "left_semi").select(*own.columns)
+    return _rank_in_windows(pairs(ordinary), attributes).union(
+        _rank_in_ranges(pairs(many), attributes, staging)
     )
 
 

@@ -8,19 +8,27 @@ exact attributes are link keys like the patient tokens and the code.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlink.functions import claim_key
 from claimlink.operators.antijoin import not_in, not_in_every
-from claimlink.operators.base import all_claims, is_anchor, segment
-from claimlink.operators.link import linked_claims
-from claimlink.operators.match import best_matches
+from claimlink.operators.base import all_claims, in_folders, is_anchor, segment, store_base
+from claimlink.operators.match import (
+    best_matches,
+    best_of,
+    linked_only,
+    linked_sides,
+    met_days,
+    vendor_rows,
+)
 from claimlink.plans import scenarios
 from claimlink.schema import (
     CLAIM_COLUMNS,
     DEFAULT_RULES,
+    FILL_ATTRIBUTES,
     INTEGRATED_COLUMNS,
     LINK_KEYS,
     RANK_GROUP,
@@ -104,28 +112,27 @@ def run_claims(base: DataFrame, runs: Sequence[int], rules: Rules) -> DataFrame:
         F.lit("|"),
         F.col("provider_id"),
     )
+    vendors = rules.primary, rules.secondary
     return (
-        base.filter(
-            F.col("datasource").isin(rules.primary, rules.secondary)
-            & F.col("paid_flag").isin(*runs)
-        )
+        base.filter(in_folders(base, vendors))
+        .filter(F.col("datasource").isin(*vendors) & F.col("paid_flag").isin(*runs))
+        .select(*CLAIM_COLUMNS)
         .withColumn("anchor", anchor)
         .withColumn("link_attributes", F.when(anchor, F.lit("")).otherwise(exact))
     )
 
 
 def _both_legs(
-    linked: DataFrame,
+    met: DataFrame,
     used: DataFrame,
+    claims: DataFrame,
     runs: Sequence[int],
     exclude: str,
     key_mode: str,
     rules: Rules,
 ) -> DataFrame:
     """Winners of both scenarios. They have one row per group, so no DISTINCT is needed."""
-    own = linked.filter(F.col("datasource") == rules.primary)
-    other = linked.filter(F.col("datasource") == rules.secondary)
-    best = best_matches(own, other, _RUN_KEYS, group=_RUN_GROUP, tolerance=rules.tolerance)
+    best = best_of(met, _RUN_KEYS, group=_RUN_GROUP)
     filled = ["provider_id", "days_supply", "out_of_pocket", "patient_pay"]
     both = F.lit(rules.both)
 
@@ -144,10 +151,14 @@ def _both_legs(
     taken = best.filter("anchor").select(
         "paid_flag", claim_key("other_claim_id", "code", key_mode).alias("claim_key")
     )
-    reverse = other.filter("anchor").withColumn("claim_key", claim_key(mode=key_mode))
+    own, other = (
+        claims.filter(F.col("anchor") & (F.col("datasource") == vendor))
+        for vendor in (rules.primary, rules.secondary)
+    )
+    reverse = other.withColumn("claim_key", claim_key(mode=key_mode))
     reverse_best = best_matches(
         not_in(reverse, "claim_key", taken, "paid_flag", runs),
-        own.filter("anchor"),
+        own,
         _RUN_KEYS,
         group=_RUN_GROUP,
         tolerance=rules.tolerance,
@@ -169,7 +180,8 @@ def _rest(
     The key stays in the DISTINCT: it changes nothing there, and the rows are already
     partitioned by it.
     """
-    claims = base.filter(F.col("datasource").isin(rules.primary, rules.secondary))
+    vendors = rules.primary, rules.secondary
+    claims = base.filter(in_folders(base, vendors)).filter(F.col("datasource").isin(*vendors))
     rows = claims.withColumn("claim_key", claim_key(mode=key_mode))
     keys = used.select("paid_flag", "claim_key")
     if leftovers == "own_flag":
@@ -186,6 +198,65 @@ def _rest(
     return to_integrated(rest, F.col("datasource"))
 
 
+@dataclass(frozen=True)
+class Run:
+    """An integrated table and what its making stored.
+
+    ``met`` has the linked days with their partners (``match.linked_only``), ``used`` the keys of all
+    linked claims as (anchor, paid_flag, datasource, claim_key).
+    """
+
+    result: DataFrame
+    met: DataFrame
+    used: DataFrame
+    rules: Rules
+    key_mode: str
+
+    def lost(self) -> DataFrame:
+        """(anchor, paid_flag, claim_key) of linked primary claims that win no group.
+
+        They are neither in the result as linked nor among the unlinked claims of their flag.
+        """
+        keys = ["anchor", "paid_flag", "claim_key"]
+        primary = self.used.filter(F.col("datasource") == self.rules.primary)
+        best = best_of(self.met, _RUN_KEYS, attributes=[], group=_RUN_GROUP)
+        won = best.select("anchor", "paid_flag", claim_key(mode=self.key_mode).alias("claim_key"))
+        known = primary.filter(F.col("claim_key").isNotNull()).select(*keys).distinct()
+        return known.join(won, keys, "left_anti")
+
+
+def integrate_run(
+    base: DataFrame,
+    runs: Sequence[int] = (PAID,),
+    purged: bool = True,
+    leftovers: str = "all",
+    exclude: str = "all",
+    key_mode: str = "concat",
+    rules: Rules = DEFAULT_RULES,
+    staging: Staging | None = None,
+) -> Run:
+    """``integrate``, with the stored steps that checks can go on from.
+
+    One sweep over the days of all link keys says which days are linked and with which partners;
+    its outcome and the keys of the linked claims, which all later steps read, are stored by this
+    call. ``base`` is read three times and should be a stored table, too.
+    """
+    staging = staging or Staging(base.sparkSession)
+    claims = run_claims(base, runs, rules)
+    days = met_days(
+        vendor_rows(claims, _RUN_KEYS, rules), _RUN_KEYS, FILL_ATTRIBUTES, rules.tolerance
+    )
+    met = staging(linked_only(days), "met")
+    linked = claims.join(
+        linked_sides(met, _RUN_KEYS, rules), [*_RUN_KEYS, "dos", "datasource"], "left_semi"
+    )
+    key = claim_key(mode=key_mode).alias("claim_key")
+    used = staging(linked.select("anchor", "paid_flag", "datasource", key), "used")
+    both = _both_legs(met, used, claims, runs, exclude, key_mode, rules)
+    rest = _rest(base, used, runs, leftovers, purged, key_mode, rules)
+    return Run(both.union(rest), met, used, rules, key_mode)
+
+
 def integrate(
     base: DataFrame,
     runs: Sequence[int] = (PAID,),
@@ -200,15 +271,10 @@ def integrate(
 
     ``leftovers="all"`` lists unlinked claims whatever their flag, so a claim linked in one
     run comes back unlinked in the other; ``"own_flag"`` keeps each run to its own claims.
-
-    The linked claims, which all later steps read, are computed and stored by this call;
-    ``base`` is read twice and should be a stored table, too.
     """
-    staging = staging or Staging(base.sparkSession)
-    linked = staging(linked_claims(run_claims(base, runs, rules), _RUN_KEYS, rules), "linked")
-    used = linked.select("anchor", "paid_flag", claim_key(mode=key_mode).alias("claim_key"))
-    both = _both_legs(linked, used, runs, exclude, key_mode, rules)
-    return both.union(_rest(base, used, runs, leftovers, purged, key_mode, rules))
+    return integrate_run(
+        base, runs, purged, leftovers, exclude, key_mode, rules, staging
+    ).result
 
 
 def merge_final(paid: DataFrame, non_paid: DataFrame) -> DataFrame:
@@ -234,7 +300,9 @@ def run_pipeline(
     spark = treatment.sparkSession
     configure(spark, input_bytes(treatment, procedure))
     staging = staging or Staging(spark)
-    base = staging(all_claims(treatment, procedure, bridge, codes, rules, paid_rule), "base")
+    base = store_base(
+        all_claims(treatment, procedure, bridge, codes, rules, paid_rule), staging, rules
+    )
     return integrate(base, (PAID, NON_PAID), rules=rules, staging=staging, **options)
 
 
@@ -256,7 +324,7 @@ def stage_tables(
         tables[name] = staging(df, name)
         return tables[name]
 
-    tables = {"base": base}
+    tables = {"base": base.select(*CLAIM_COLUMNS)}
     a, b, a_rest, b_rest = (
         store(f"{side}_{kind}", segment(vendor, kind == "anchor", base))
         for kind in ("anchor", "non_anchor")

@@ -12,6 +12,7 @@ from claimlink.functions import claim_key, completeness_label, concat_key
 from claimlink.operators.base import segment
 from claimlink.operators.link import linked_claims, with_flag
 from claimlink.operators.match import best_matches
+from claimlink.plans.integrate import Run
 from claimlink.schema import DEFAULT_RULES, EXACT_KEYS, LINK_KEYS, Rules
 from claimlink.sources import Staging
 
@@ -133,11 +134,13 @@ def quality_report(
     key_mode: str = "concat",
     rules: Rules = DEFAULT_RULES,
     staging: Staging | None = None,
+    run: Run | None = None,
 ) -> DataFrame:
     """All checks of a run as rows of (check_name, item, amount).
 
     ``paid`` names the flags the integrated table was made for. The table is read once: what the
-    checks need of it is stored first.
+    checks need of it is stored first. With the ``run`` it comes from, lost claims are told from
+    what that has stored; without, the base is linked again.
     """
     staging = staging or Staging(base.sparkSession)
     profile = staging(_profile(integrated), "profile")
@@ -160,12 +163,24 @@ def quality_report(
     )
     filled = profile.groupBy("provider_status", "cost_status").agg(F.sum("n").alias("n"))
 
-    def lost(anchor: bool, keys: Sequence[str]) -> list[DataFrame]:
+    def relinked(anchor: bool, keys: Sequence[str]) -> DataFrame:
         sides = [segment(v, anchor, base) for v in (rules.primary, rules.secondary)]
-        return [lost_claims(*sides, p, key_mode, rules, keys) for p in paid]
-
-    def number(parts: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.union, parts).agg(F.count(F.lit(1)).alias("n"))
+        parts = [lost_claims(*sides, p, key_mode, rules, keys) for p in paid]
+        return reduce(DataFrame.union, parts).select(F.lit(anchor).alias("anchor"))
+
+    if run is None:
+        gone = relinked(True, LINK_KEYS).union(relinked(False, EXACT_KEYS))
+    else:
+        gone = run.lost()
+    scenario = F.explode(
+        F.array(*[
+            F.struct(F.lit(name).alias("item"), F.col(count).alias("n"))
+            for name, count in (("scenario_1", "anchors"), ("scenario_3", "others"))
+        ])
+    )
+    lost = gone.agg(
+        F.count_if("anchor").alias("anchors"), F.count_if(~F.col("anchor")).alias("others")
+    ).select(scenario.alias("lost")).select("lost.*")
 
     parts = [
         rows(reconcile(raw_ids, base), "distinct_claims", F.col("stage"), "distinct_claims"),
@@ -174,7 +189,6 @@ def quality_report(
         ),
         rows(repeated.agg(F.count(F.lit(1)).alias("n")), "duplicate_encounters", F.lit("all"), "n"),
         rows(filled, "completeness", F.concat_ws("/", "provider_status", "cost_status"), "n"),
-        rows(number(lost(True, LINK_KEYS)), "lost_claims", F.lit("scenario_1"), "n"),
-        rows(number(lost(False, EXACT_KEYS)), "lost_claims", F.lit("scenario_3"), "n"),
+        rows(lost, "lost_claims", F.col("item"), "n"),
     ]
     return reduce(DataFrame.union, parts)

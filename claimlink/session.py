@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # A stored base has a dozen folders: a task writes them side by side instead of sorting for them.
+    "spark.sql.maxConcurrentOutputFileWriters": "24",
 }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,8 +110,24 @@ class Staging:
         self.folder = f"{base}/claimlink-{uuid.uuid4().hex}"
         self._stored = itertools.count()
 
+    def path(self, name: str) -> str:
+        """A folder of its own for a step that is written by the caller."""
+        return f"{self.folder}/{next(self._stored):03d}-{name}"
+
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        return save(df, f"{self.folder}/{next(self._stored):03d}-{name}", mode="errorifexists")
+        return save(df, self.path(name), mode="errorifexists")
+
+    def partitioned(self, df: DataFrame, name: str, by: Sequence[str]) -> DataFrame:
+        """A step stored in a folder per value of the columns ``by``, which come last in it.
+
+        The schema is kept, not guessed from the folders' names. An empty text would come back as
+        NULL from a name, so ``by`` must not hold any.
+        """
+        path = self.path(name)
+        df.write.mode("errorifexists").partitionBy(*by).parquet(path)
+        kept = [c for c in df.columns if c not in by]
+        schema = T.StructType([df.schema[c] for c in (*kept, *by)])
+        return self.spark.read.schema(schema).parquet(path).select(*kept, *by)
 
     def drop(self) -> None:
         """Delete the steps of this instance; nothing that reads them can run afterwards."""

@@ -12,14 +12,23 @@ from claimlink.operators.antijoin import not_in, not_in_every
 from claimlink.operators.base import enrich_codes, enrich_tokens, segment, standardize
 from claimlink.operators.link import (
     band_join,
+    crowded_keys,
     hot_bands,
     link,
     linked_claims,
     linked_days,
     other_side,
+    pairs_in_reach,
+)
+from claimlink.operators.match import (
+    best_alternatives,
+    best_matches,
+    best_of,
+    met_days,
+    vendor_rows,
 )
-from claimlink.operators.match import best_alternatives, best_matches
 from claimlink.operators.rank import place_in_ranges, rank_links
+from claimlink.operators.sweep import sweep
 from claimlink.plans import integrate as plan
 from claimlink.plans import quality, scenarios
 from claimlink.schema import (
@@ -27,7 +36,10 @@ from claimlink.schema import (
     CLAIM_COLUMNS,
     CLAIM_SCHEMA,
     DEFAULT_RULES,
+    EXACT_KEYS,
+    FILL_ATTRIBUTES,
     LINK_KEYS,
+    OTHER_COLUMNS,
 )
 from claimlink.session import configure
 from claimlink.sources import Staging, conform
@@ -98,8 +110,9 @@ def test_the_bridge_is_joined_once(spark, no_broadcast):
 def test_five_ranks_take_one_sort_of_the_pairs(base):
     a, b = segment("A", True, base), segment("B", True, base)
     text = physical(rank_links(a, b))
-    windows = re.findall(r"\bWindow \[", text)
-    assert 1 <= len(windows) <= 2  # along the order, and over the whole group
+    windows = re.findall(r"\bWindow \[.*?windowspecdefinition\((\w+)#", text)
+    assert windows.count("patient_token_1") == 1  # the sweep over both sides, before the pairs
+    assert 1 <= windows.count("patient_token_2") <= 2  # along the order, and over the whole group
     assert len(re.findall(r"Sort \[patient_token_2", text)) == 1
 
 
@@ -294,9 +307,13 @@ def test_best_rows_form_no_pair_table(base):
     a, b = segment("A", True, base), segment("B", True, base)
     for df in (best_matches(a, b, attributes=[]), best_alternatives(a, b, "days_supply")):
         text = physical(df)
-        assert "Window [" not in text
+        # the one window is the sweep over days; no row of it is a pair
+        assert len(re.findall(r"\bWindow \[", text)) == text.count("RangeFrame, -5, 5") == 1
         # both sides are one row per key and day before they meet
-        assert len(re.findall(r"Aggregate\(key=\[patient_token_1", text)) >= 2
+        below = text[text.index("Window ["):]
+        assert len(re.findall(r"Aggregate\(key=\[patient_token_1\S+ patient_token_2\S+ code\S+ _day",
+                              below)) >= 2
+        assert not re.search(r"Join|Expand", text)
 
 
 def test_code_reference_is_broadcast_by_its_measured_size(spark, no_broadcast):
@@ -331,3 +348,107 @@ def test_steps_need_a_named_folder():
 
     with pytest.raises(ValueError):
         Staging(Nameless())
+
+
+def crowd(spark, days, size):
+    """Claims of one patient and code: ``size`` of the primary vendor on the first day, ``size`` of
+    the secondary one so many days later."""
+    primary = F.col("id") % 2 == 0
+    columns = {
+        "datasource": F.when(primary, F.lit("A")).otherwise(F.lit("B")),
+        "claim_id": F.concat(F.lit("c"), F.col("id")),
+        "patient_token_1": F.lit("t"),
+        "patient_token_2": F.lit("t"),
+        "dos": F.date_add(F.to_date(F.lit("2020-01-01")), F.when(primary, 0).otherwise(days)),
+        "code": F.lit("c"),
+        "code_group1": F.lit("g"),
+        "paid_flag": F.lit(1),
+    }
+    rows = spark.range(2 * size).select(
+        *[columns.get(c, F.lit(None)).alias(c) for c in CLAIM_COLUMNS]
+    )
+    return Staging(spark)(conform(rows, CLAIM_SCHEMA), "crowd")
+
+
+def test_a_sweep_copies_no_side(base, no_broadcast):
+    """One shuffle of both sides, no join and no copies into neighbouring bands."""
+    own = segment("A", True, base)
+    other = other_side(segment("B", True, base), LINK_KEYS)
+    text = physical(sweep(own, other, LINK_KEYS, 5))
+    assert not re.search(r"Join|Expand|explode\(array", text)
+    assert len(re.findall("Exchange hashpartitioning", text)) == 1
+    joined = physical(band_join(own, other, LINK_KEYS, 5))
+    assert len(re.findall("Exchange hashpartitioning", joined)) == 2 and "Join" in joined
+
+
+def test_a_sweep_makes_the_pairs_of_a_band_join(base):
+    own = segment("A", True, base)
+    other = other_side(segment("B", True, base), LINK_KEYS)
+    for tolerance in (0, 1, 5, 40):
+        swept, joined = (
+            f(own, other, LINK_KEYS, tolerance) for f in (sweep, band_join)
+        )
+        assert swept.columns == [*own.columns, *[c for c in OTHER_COLUMNS], "abs_date_diff"]
+        assert values(swept, *joined.columns) == values(joined, *joined.columns)
+
+
+def test_days_out_of_reach_are_not_compared(spark):
+    """Neighbouring bands, but nine days apart: n times n comparisons would not end in time."""
+    claims = crowd(spark, 9, 40_000)
+    a, b = segment("A", True, claims), segment("B", True, claims)
+    assert rank_links(a, b).count() == 0
+    assert link(a, b).count() == 0
+    assert best_matches(a, b).count() == 0
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_equal_claims_are_spread_over_cells(spark, distinct):
+    """Pairs of repeated rows are made by many tasks, and none is lost."""
+    size = 2500
+    claims = crowd(spark, 3, size).withColumn("claim_id", F.lit("same"))
+    a, b = Staging(spark)(segment("A", True, claims), "a"), segment("B", True, claims)
+    pairs = link(a, b, distinct=distinct)
+    assert pairs.count() == (1 if distinct else size * size)
+    if not distinct:
+        before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            tasks = link(a, b, distinct=False).groupBy(F.spark_partition_id()).count().collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        assert len(tasks) > 1 and max(r["count"] for r in tasks) < 0.8 * size * size
+
+
+def test_crowded_keys_and_others_give_the_pairs_of_one_join(base):
+    """Whatever counts as crowded."""
+    staging = Staging(base.sparkSession)
+    own = segment("A", True, base)
+    other = other_side(segment("B", True, base), LINK_KEYS)
+    want = values(band_join(own, other, LINK_KEYS, 5), "claim_id", "other_claim_id", "dos")
+    for side in (1, 2, 1000):
+        crowded = crowded_keys(own, other, LINK_KEYS, 5, staging, side)
+        assert (crowded is None) == (side == 1000)
+        pairs = pairs_in_reach(own, other, LINK_KEYS, 5, staging, crowded, side)
+        assert values(pairs, "claim_id", "other_claim_id", "dos") == want
+
+
+def test_integration_shuffles_the_link_keys_twice(base, no_broadcast):
+    """Days are counted and swept once; linked days and winners come from the stored outcome."""
+    claims = plan.run_claims(base, (1, 0), DEFAULT_RULES)
+    days = met_days(vendor_rows(claims, plan._RUN_KEYS), plan._RUN_KEYS, FILL_ATTRIBUTES, 5)
+    assert len(re.findall("Exchange hashpartitioning", physical(days))) == 2
+    run = plan.integrate_run(base, (1, 0))
+    best = physical(best_of(run.met, plan._RUN_KEYS, group=plan._RUN_GROUP))
+    assert len(re.findall("Exchange hashpartitioning", best)) == 1
+    assert not re.search(r"Join|Window \[", best)
+
+
+@pytest.mark.parametrize("key_mode", ["concat", "struct"])
+def test_lost_claims_of_a_run_are_those_of_linking_again(base, key_mode):
+    run = plan.integrate_run(base, (1, 0), key_mode=key_mode)
+    for anchor, keys in ((True, LINK_KEYS), (False, EXACT_KEYS)):
+        a, b = segment("A", anchor, base), segment("B", anchor, base)
+        for paid in (1, 0):
+            lost = run.lost().filter((F.col("anchor") == anchor) & (F.col("paid_flag") == paid))
+            again = quality.lost_claims(a, b, paid, key_mode, keys=keys)
+            assert values(lost, "claim_key") == values(again, "claim_key")
