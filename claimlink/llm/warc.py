@@ -1,10 +1,10 @@
 """WARC archives: writing, reading, and revisit resolution.
 
-Records are written by Spark's text writer, one archive per partition and at most
-``RECORDS_PER_FILE`` records in each, gzipped; a record is its header, a blank line and its block,
-and the writer's line separator is the two line ends that close a record. Archives are read as
-files and parsed by ``Content-Length`` while they are decompressed, so a task holds one compressed
-archive and one record.
+Records are written by Spark's text writer, one archive per partition or more, gzipped; a record is
+its header, a blank line and its block, and the writer's line separator is the two line ends that
+close a record. How many records an archive may hold depends on their size (``SIZE_CLASSES``).
+Archives are read as files and parsed by ``Content-Length`` while they are decompressed, so a task
+holds one compressed archive and one record.
 
 Revisit resolution shuffles headers only, by payload digest: of equal payloads of at least
 ``least_bytes`` one is chosen as the original response, the others become revisits that refer to
@@ -32,7 +32,9 @@ from pyspark.sql import types as T
 
 from claimlink.llm.common import arrow_schema, batch, fields, staging
 
-RECORDS_PER_FILE = 5_000
+# (payload of at most so many bytes, records a file): no file holds more than 256 MB before it is
+# compressed, unless a single record does.
+SIZE_CLASSES = ((51_200, 5_000), (1 << 20, 250), (64 << 20, 4), (1 << 31, 1))
 LEAST_BYTES = 1000
 END = "\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -48,12 +50,27 @@ def _urn(value: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), value, F.lit(">"))
 
 
-def write_archive(records: DataFrame, folder: str) -> None:
+def write_archive(records: DataFrame, folder: str, largest: int) -> None:
     """Write records (record_id, page_id, url, digest, payload, refers_to) as gzipped archives.
 
     Without ``refers_to`` a record is a response and its block ends in the payload; with it, it is
-    a revisit and its block is the HTTP head alone.
+    a revisit and its block is the HTTP head alone. ``largest`` is the size of the largest payload:
+    records go to a folder per size class, each with as many records a file as its sizes
+    allow, so no file grows beyond what can be read back. Pages of ordinary size are one class.
     """
+    size = F.coalesce(F.octet_length("payload"), F.lit(0))
+    least = -1
+    for k, (most, per_file) in enumerate(SIZE_CLASSES):
+        part = records
+        if least >= 0 or largest > most:
+            part = records.filter((size > least) & (size <= most))
+        _write_class(part, f"{folder}/size-{k}", per_file)
+        if largest <= most:
+            return
+        least = most
+
+
+def _write_class(records: DataFrame, folder: str, per_file: int) -> None:
     revisit = F.col("refers_to").isNotNull()
     payload = F.when(~revisit, F.coalesce("payload", F.lit(""))).otherwise(F.lit(""))
     url = F.regexp_replace("url", "[\\x00-\\x20\\x7f]", "%20")
@@ -79,7 +96,7 @@ def write_archive(records: DataFrame, folder: str) -> None:
         .write.option("lineSep", END + END)
         .option("compression", "gzip")
         .option("zlib.compress.level", "BEST_SPEED")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", per_file)
         .mode("errorifexists")
         .text(folder)
     )
@@ -179,13 +196,15 @@ def read_archive(spark: SparkSession, folder: str, payload: bool = False) -> Dat
                 if rows:
                     yield batch(schema, list(zip(*rows, strict=True)))
 
-    files = spark.read.format("binaryFile").load(folder).select("content")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = reader.load(folder).select("content")
     return files.mapInArrow(read, chosen)
 
 
 def archive_pages(pages: DataFrame, folder: str) -> None:
     """A response record per page, its html as payload."""
     html = F.coalesce(F.col("html"), F.lit(""))
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
     write_archive(
         pages.select(
             F.uuid().alias("record_id"),
@@ -196,6 +215,7 @@ def archive_pages(pages: DataFrame, folder: str) -> None:
             F.lit(None).cast("string").alias("refers_to"),
         ),
         folder,
+        largest,
     )
 
 
@@ -235,6 +255,7 @@ def resolve_revisits(
             _fresh(F.col("original_id")).alias("refers_to"),
         ),
         target,
+        headers.agg(F.max("payload_bytes")).first()[0] or 0,
     )
 
 
@@ -268,7 +289,8 @@ def resolved_records(spark: SparkSession, folder: str) -> DataFrame:
 def deduplicate_pages(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Archive the pages, write deduplicated archives, and read those back."""
     spark = pages.sparkSession
-    folder = staging(spark).folder
-    archive_pages(pages, f"{folder}/archive")
-    resolve_revisits(spark, f"{folder}/archive", f"{folder}/deduplicated", least_bytes)
-    return resolved_records(spark, f"{folder}/deduplicated")
+    store = staging(spark)
+    archive, deduplicated = store.path("archive"), store.path("deduplicated")
+    archive_pages(pages, archive)
+    resolve_revisits(spark, archive, deduplicated, least_bytes)
+    return resolved_records(spark, deduplicated)

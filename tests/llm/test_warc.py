@@ -82,6 +82,30 @@ def test_repeated_payloads_are_written_once(session, pages):
     assert targets.join(new, targets.refers_to == new.record_id, "left_anti").count() == 0
 
 
+def test_files_are_bounded_by_bytes(session, pages, monkeypatch):
+    """Large payloads go to files with few records; nothing else changes."""
+    monkeypatch.setattr(warc, "SIZE_CLASSES", ((100, 50), (1500, 3), (1 << 31, 1)))
+    same(warc.deduplicate_pages(frame(session, pages)), expected(pages))
+    folder = staging(session).folder
+    warc.archive_pages(frame(session, pages), folder)
+    for part, most in (("size-0", 50), ("size-1", 3), ("size-2", 1)):
+        files = session.read.format("binaryFile").load(f"{folder}/{part}").collect()
+        counts = [len(list(warc.parse_archive(f.content))) for f in files]
+        assert sum(counts) > 0 and max(counts) <= most
+
+
+def test_pages_of_a_megabyte(session):
+    """600 MB of pages: no file holds more than 256 MB of them."""
+    assert all(size * n <= 256 << 20 for size, n in warc.SIZE_CLASSES[:-1])
+    big = session.range(60).selectExpr(
+        "id AS page_id", "concat('http://h/', id) AS url",
+        "repeat(concat('page ', id % 40, ' '), 150000) AS html",
+    )
+    result = warc.deduplicate_pages(big)
+    assert result.filter("payload_bytes > 1000000").count() == 60
+    assert result.filter("record_type = 'revisit'").count() == 20
+
+
 def test_no_pages(session):
     assert warc.deduplicate_pages(frame(session, []).limit(0)).collect() == []
 
