@@ -8,7 +8,8 @@ them, so it holds at least one of the n/5 + 1 smallest. A document is a candidat
 which it holds a sketch value; exact shingles then decide. Nothing is lost to chance.
 
 Documents never move: every task hashes its own texts and meets the items, which it gets in blocks
-of bounded size; a benchmark beyond one block takes several passes.
+of bounded size; a benchmark beyond one block takes several passes. Each pass stores what it found
+before the next block is made, so the driver holds one block, whatever the benchmark.
 
 Defined results: a null text has no words. An item of one to four words is one shingle, its whole
 word sequence; an item without words, or with a null id, contains nothing and is left out. Repeated
@@ -18,10 +19,13 @@ pairs. Extra columns pass through ``decontaminate`` and are not read otherwise.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlink.llm.common import arrow_schema, batch, fields, texts, words
+from claimlink.llm.common import arrow_schema, batch, fields, fresh, staging, texts, words
 
 SHINGLE_WORDS = 5
 THRESHOLD = "0.8"
@@ -140,16 +144,22 @@ def contained(text: bytes, block: Items) -> list[tuple[int, int, int]]:
     return found
 
 
-def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
-    """The items in blocks of about ``block_words`` words, one at a time on the driver."""
+def item_blocks(
+    benchmark: DataFrame, block_words: int = BLOCK_WORDS
+) -> tuple[int, Iterator[list[tuple]]]:
+    """Number of blocks of about ``block_words`` words, and the blocks, one at a time."""
     items = benchmark.select(F.col("item_id").cast("long"), "text").dropna().distinct()
     size = F.size(F.split("text", "[\x20\x09-\x0d]+"))
     total = items.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first().n
     blocks = max(1, math.ceil(total / block_words))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for k in range(blocks):
-        rows = items.filter(number == k).sort("item_id", "text").collect()
-        yield [(r.item_id, r.text) for r in rows]
+
+    def each():
+        for k in range(blocks):
+            rows = items.filter(number == k).sort("item_id", "text").collect()
+            yield [(r.item_id, r.text) for r in rows]
+
+    return blocks, each()
 
 
 PAIRS = fields(
@@ -159,6 +169,7 @@ PAIRS = fields(
     ("n_contained", "long"),
     ("containment", "double"),
 )
+BAD = fields(("digest", "string"))
 
 
 def contaminated_pairs(
@@ -171,11 +182,11 @@ def contaminated_pairs(
     """Every (document, item) with containment of at least ``threshold``."""
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
     schema = arrow_schema(PAIRS)
-    passes = []
-    for rows in item_blocks(benchmark, block_words):
-        block = prepare_items(rows, size, threshold)
+    store = staging(docs.sparkSession)
+    blocks, each = item_blocks(benchmark, block_words)
 
-        def search(batches, block=block):
+    def found(block: Items) -> DataFrame:
+        def search(batches):
             for b in batches:
                 out = []
                 ids = b.column("doc_id").to_pylist()
@@ -184,11 +195,12 @@ def contaminated_pairs(
                         out.append((doc_id, block.items[i].item_id, count, n, n / count))
                 yield batch(schema, list(zip(*out, strict=True)) or [()] * 5)
 
-        passes.append(chosen.mapInArrow(search, PAIRS))
-    result = passes[0]
-    for more in passes[1:]:
-        result = result.unionAll(more)
-    return result
+        return chosen.mapInArrow(search, PAIRS)
+
+    if blocks == 1:
+        return found(prepare_items(next(each), size, threshold))
+    passes = [store(found(prepare_items(rows, size, threshold)), "pairs") for rows in each]
+    return reduce(DataFrame.unionAll, passes)
 
 
 def decontaminate(
@@ -199,13 +211,35 @@ def decontaminate(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """The documents that contain no item."""
-    for rows in item_blocks(benchmark, block_words):
-        block = prepare_items(rows, size, threshold)
+    store = staging(docs.sparkSession)
+    blocks, each = item_blocks(benchmark, block_words)
+    if blocks == 1:
+        block = prepare_items(next(each), size, threshold)
 
-        def keep(batches, block=block):
+        def keep(batches):
             for b in batches:
                 clean = [not contained(t, block) for t in texts(b.column("text"))]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+        return docs.mapInArrow(keep, docs.schema)
+    digest = F.sha2(docs["text"], 256)
+    passes = [
+        store(_texts_with(docs.select("text"), prepare_items(rows, size, threshold)), "bad")
+        for rows in each
+    ]
+    (name,) = fresh(docs, "bad_digest")
+    bad = reduce(DataFrame.unionAll, passes).distinct().toDF(name)
+    return docs.join(bad, digest == F.col(name), "left_anti")
+
+
+def _texts_with(docs: DataFrame, block: Items) -> DataFrame:
+    """SHA-256 of the texts that contain an item of the block."""
+    schema = arrow_schema(BAD)
+
+    def search(batches):
+        for b in batches:
+            bad = [hashlib.sha256(t).hexdigest() for t in texts(b.column("text"))
+                   if contained(t, block)]
+            yield batch(schema, [bad])
+
+    return docs.mapInArrow(search, BAD)
