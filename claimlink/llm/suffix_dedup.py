@@ -34,7 +34,7 @@ from claimlink.llm.suffix_array import common_prefixes, suffix_array
 
 LEAST_BYTES = 400
 GRAM_BYTES = 300
-HOT_CONTEXTS = 1_000  # half a shard
+HOT_CONTEXTS = 100  # of one anchor; more are cut into parts with longer grams
 SHARD_BYTES = 1_000_000
 SEGMENT = 1 << 19
 SEPARATOR = 255  # occurs in no UTF-8 text
