@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +30,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_STEPS: ContextVar[Staging | None] = ContextVar("steps", default=None)
+
+
 def staging(spark: SparkSession) -> Staging:
-    """Stored steps in the shared folder of ``spark.checkpoint.dir``."""
-    return Staging(spark)
+    """Stored steps in the shared folder of ``spark.checkpoint.dir``: the caller's, or new ones."""
+    return _STEPS.get() or Staging(spark)
+
+
+@contextmanager
+def steps_in(store: Staging) -> Iterator[Staging]:
+    """Operators called inside store their steps in ``store``; its ``drop()`` removes them all.
+
+    Results read stored steps when they run, so drop them after that.
+    """
+    before = _STEPS.set(store)
+    try:
+        yield store
+    finally:
+        _STEPS.reset(before)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

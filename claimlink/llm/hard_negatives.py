@@ -344,7 +344,7 @@ def mine(
     blocks = math.ceil(number * length * 8 / BLOCK_BYTES)
     part = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
     chosen = store(chosen.withColumn("block", part), "anchors")
-    folder = f"{store.folder}/negatives"
+    folder = store.path("negatives")
     for k in range(blocks):
         anchors_of = chosen.filter(F.col("block") == k).drop("block").toArrow()
         if anchors_of.num_rows:

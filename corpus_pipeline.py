@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimlink.llm import cotraining, decontaminate, packing, secret_scan, simhash
-from claimlink.llm.common import prepare, staging, table
+from claimlink.llm.common import prepare, staging, steps_in, table
+from claimlink.sources import Staging
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +56,14 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+def run(spark: SparkSession, sf_dir: str, store: Staging | None = None) -> DataFrame:
+    """All stages over the documents of ``sf_dir``.
+
+    Their stored steps go into ``store``, whose ``drop()`` removes them when the result is saved.
+    """
     prepare(spark)
-    store = staging(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with steps_in(store or staging(spark)) as steps:
+        for name, stage in STAGES:
+            docs = steps(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

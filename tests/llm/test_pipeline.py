@@ -3,6 +3,8 @@ registered queries against their SQL."""
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import duckdb
 import pytest
 from llm_helpers import DATA, pairs
@@ -12,7 +14,8 @@ from test_simhash import linked
 import __spark_entry__ as driver
 import corpus_pipeline
 from claimlink.llm import cotraining, queries
-from claimlink.llm.common import staging
+from claimlink.llm.common import staging, steps_in
+from claimlink.sources import Staging
 
 TABLES = ["documents", "pages", "benchmark", "labels", "embeddings"]
 
@@ -92,6 +95,25 @@ def test_query_agrees_with_its_sql(session, name):
     assert got == expected
 
 
+def test_steps_of_all_operators_can_be_dropped(session):
+    """Given a store, operators keep their steps there and nowhere else."""
+    spark = session
+    root = Path(staging(spark).folder.removeprefix("file:")).parent
+    folders = lambda: {p.name for p in root.iterdir() if p.name.startswith("claimlink-")}
+    store, before = Staging(spark), folders()
+    with steps_in(store):
+        for name in ("op4_warc_revisits", "op6_simhash_near_dedup", "op11_hard_negatives"):
+            for _ in range(2):
+                queries.QUERIES[name](spark, DATA).collect()
+    result = corpus_pipeline.run(spark, DATA, store)
+    assert result.count() > 0
+    assert folders() - before == {Path(store.folder).name}
+    store.drop()
+    assert folders() == before
+    corpus_pipeline.run(spark, DATA).count()
+    assert len(folders()) == len(before) + 1
+
+
 def test_all_are_registered():
     names = set(driver.queries())
     assert {"pipeline", *queries.QUERIES} <= names
