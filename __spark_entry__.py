@@ -229,19 +229,23 @@ _ALTERNATIVE_COLUMNS = [*LINK_KEYS, "dos", "claim_id", "other_claim_id"]
     "inline_derived_table",
     oracle.table(
         "matched_1_paid",
-        [*_ALTERNATIVE_COLUMNS, "other_provider_id", "augment_other_provider_id"],
+        [
+            *_ALTERNATIVE_COLUMNS,
+            *[f"{part}{x}" for x in FILL_ATTRIBUTES for part in ("other_", "augment_other_")],
+        ],
     ),
 )
 def _(c):
-    ranked = c.staging(rank_links(c.a, c.b, attributes=["provider_id"]), "ranked")
-    best = best_alternative(ranked, "provider_id").select(
-        *LINK_KEYS, "dos", F.col("other_provider_id").alias("augment_other_provider_id")
-    )
-    return (
-        winners(ranked)
-        .select(*_ALTERNATIVE_COLUMNS, "other_provider_id")
-        .join(best, [*LINK_KEYS, "dos"], "left")
+    ranked = c.staging(rank_links(c.a, c.b), "ranked")
+    result = winners(ranked).select(
+        *_ALTERNATIVE_COLUMNS, *[f"other_{x}" for x in FILL_ATTRIBUTES]
     )
+    for x in FILL_ATTRIBUTES:
+        best = best_alternative(ranked, x).select(
+            *LINK_KEYS, "dos", F.col(f"other_{x}").alias(f"augment_other_{x}")
+        )
+        result = result.join(best, [*LINK_KEYS, "dos"], "left")
+    return result
 
 
 # ---------------------------------------------------------------- projections
@@ -272,8 +276,7 @@ _PAID_FLAG = "CASE WHEN treatment_claim_status IN ('1', 'PAID') THEN 1 ELSE 0 EN
     oracle.with_steps(f"{_standard('treatment')} UNION ALL {_standard('procedure')}"),
 )
 def _(c):
-    i = c.inputs
-    return standardize(i.treatment, "treatment").union(standardize(i.procedure, "procedure"))
+    return _standardized(c)
 
 
 @_query(
@@ -318,13 +321,18 @@ def _(c):
     return c.inputs.all_claims().select("*", claim_key().alias("claim_key"))
 
 
+def _standardized(c: Context) -> DataFrame:
+    """Both kinds under the common names, before any lookup."""
+    i = c.inputs
+    return standardize(i.treatment, "treatment").union(standardize(i.procedure, "procedure"))
+
+
 @_query(
     "sentinel_to_null",
-    oracle.table("base_treatment", ["claim_id", "patient_token_1", "patient_token_2"]),
+    oracle.table("base", ["claim_id", "patient_token_1", "patient_token_2"]),
 )
 def _(c):
-    claims = standardize(c.inputs.treatment, "treatment")
-    return enrich_tokens(claims, c.inputs.bridge).select(
+    return enrich_tokens(_standardized(c), c.inputs.bridge).select(
         "claim_id", "patient_token_1", "patient_token_2"
     )
 
@@ -487,17 +495,27 @@ def _(c):
 
 @_query(
     "filter_best_present",
-    _select(
-        oracle.plain([*_PAIR_ID, "other_days_supply", "rn_other_days_supply"]),
-        "ranked_1_paid",
-        "WHERE rn_other_days_supply = 1 AND non_null_other_days_supply = 1",
+    oracle.with_steps(
+        " UNION ALL ".join(
+            f"SELECT '{x}' AS attribute, {oracle.plain(_PAIR_ID)}, CAST(other_{x} AS DOUBLE) AS"
+            f" value, CAST(rn_other_{x} AS BIGINT) AS place FROM ranked_1_paid"
+            f" WHERE rn_other_{x} = 1 AND non_null_other_{x} = 1"
+            for x in FILL_ATTRIBUTES
+        )
     ),
 )
 def _(c):
     paid = [s.filter("paid_flag = 1") for s in (c.a, c.b)]
-    return best_alternatives(*paid, "days_supply").select(
-        *_PAIR_ID, "other_days_supply", "rn_other_days_supply"
-    )
+    found = [
+        best_alternatives(*paid, x).select(
+            F.lit(x).alias("attribute"),
+            *_PAIR_ID,
+            F.col(f"other_{x}").cast("double").alias("value"),
+            F.col(f"rn_other_{x}").cast("bigint").alias("place"),
+        )
+        for x in FILL_ATTRIBUTES
+    ]
+    return reduce(DataFrame.union, found)
 
 
 @_query(
@@ -590,11 +608,10 @@ def _(c):
 # ---------------------------------------------------------------- joins
 @_query(
     "enrich_tokens",
-    oracle.table("base_procedure", ["claim_id", "code", "patient_token_1", "patient_token_2"]),
+    oracle.table("base", ["claim_id", "code", "patient_token_1", "patient_token_2"]),
 )
 def _(c):
-    claims = standardize(c.inputs.procedure, "procedure")
-    return enrich_tokens(claims, c.inputs.bridge).select(
+    return enrich_tokens(_standardized(c), c.inputs.bridge).select(
         "claim_id", "code", "patient_token_1", "patient_token_2"
     )
 
@@ -604,13 +621,13 @@ def _(c):
     _select(
         "r.treatment_claim_id AS claim_id, r.treatment_code AS code, c.code_group1,"
         " c.code_group2, c.code_group3, c.code_group4",
-        "raw_treatment AS r",
+        "(SELECT treatment_claim_id, treatment_code FROM raw_treatment UNION ALL"
+        " SELECT procedure_claim_id, procedure_code FROM raw_procedure) AS r",
         "LEFT JOIN code_reference AS c ON r.treatment_code = c.code",
     ),
 )
 def _(c):
-    claims = standardize(c.inputs.treatment, "treatment")
-    return enrich_codes(claims, c.inputs.codes).select("claim_id", "code", *CODE_GROUPS)
+    return enrich_codes(_standardized(c), c.inputs.codes).select("claim_id", "code", *CODE_GROUPS)
 
 
 _LINK_COLUMNS = [*CLAIM_COLUMNS, *OTHER_COLUMNS, "abs_date_diff"]
@@ -730,7 +747,8 @@ def _(c):
     ),
 )
 def _(c):
-    return quality.duplicates(c.integrated((PAID,)))
+    final = c.staging(c.integrated((PAID,)), "final")
+    return quality.duplicates(final, c.staging)
 
 
 _STATUS_COUNTS = f"{_STATUSES}, count(*) AS record_count"

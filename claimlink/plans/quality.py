@@ -12,6 +12,7 @@ from claimlink.functions import claim_key, completeness_label, concat_key
 from claimlink.operators.base import segment
 from claimlink.operators.link import linked_claims, with_flag
 from claimlink.operators.match import best_matches
+from claimlink.operators.sieve import sieve_of
 from claimlink.plans.integrate import Run
 from claimlink.schema import DEFAULT_RULES, EXACT_KEYS, LINK_KEYS, Rules
 from claimlink.sources import Staging
@@ -60,10 +61,27 @@ def summary(integrated: DataFrame) -> DataFrame:
     )
 
 
-def duplicates(integrated: DataFrame) -> DataFrame:
-    """Encounter and code combinations with more than one row."""
+def duplicates(integrated: DataFrame, staging: Staging | None = None) -> DataFrame:
+    """Encounter and code combinations with more than one row.
+
+    With ``staging``, for a stored table: mostly few combinations repeat, so hashes of eight bytes are
+    counted first, and only rows whose hash may be among the repeated ones (a Bloom filter says so)
+    are shuffled with their keys and counted exactly.
+    """
+    keys = ["encounter_key", "codes"]
+    rows = integrated
+    if staging is not None:
+        digest = F.xxhash64(*keys).alias("_digest")
+        counts = integrated.select(digest).groupBy("_digest").agg(F.count(F.lit(1)).alias("n"))
+        twice = staging(counts.filter("n > 1").select("_digest"), "seen_twice")
+        sieve = sieve_of(twice, staging)
+        hashed = integrated.select(*keys, digest)
+        if sieve is None:  # too many for a filter
+            rows = hashed.join(twice, "_digest", "left_semi")
+        else:
+            rows = sieve.maybe(hashed, ["_digest"])
     return (
-        integrated.groupBy("encounter_key", "codes")
+        rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("record_count"))
         .filter(F.col("record_count") > 1)
     )

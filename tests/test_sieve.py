@@ -9,6 +9,7 @@ from test_antijoin import LISTS, REGIMES
 
 from claimlink.operators import sieve
 from claimlink.operators.antijoin import ledger_sieve, not_in
+from claimlink.plans import quality
 from claimlink.sources import Staging
 
 
@@ -135,3 +136,37 @@ def test_only_rows_that_may_be_listed_are_shuffled(spark, staging, no_broadcast,
     # the ledger's own two shuffles stay, and a state row per task
     assert rows_after - (rows_before - n) <= listed + 0.02 * n
     assert after <= before - 0.9 * (n - listed) * 80
+
+
+def encounters(spark, n, repeated):
+    """``n`` combinations, every ``repeated``-th of them three times, and two with NULL parts."""
+    i = F.col("id")
+    rows = spark.range(n).select(
+        F.concat(F.lit("encounter-"), F.col("id")).alias("encounter_key"),
+        F.concat(F.lit("C"), i % 7).alias("codes"),
+        F.explode(F.sequence(F.lit(1), F.when(i % repeated == 0, 3).otherwise(1))).alias("copy"),
+    )
+    null = spark.createDataFrame(
+        [(None, "C1", 1), (None, "C1", 2), ("e", None, 1), (None, None, 1)],
+        "encounter_key string, codes string, copy int",
+    )
+    return rows.union(null)
+
+
+@pytest.mark.parametrize("repeated", [2, 50, 10**9])
+def test_duplicates_through_a_sieve_are_the_same(spark, staging, repeated, monkeypatch):
+    final = staging(encounters(spark, 5_000, repeated), "final")
+    plain = quality.duplicates(final)
+    assert rows(quality.duplicates(final, staging)) == rows(plain)
+    monkeypatch.setattr(quality, "sieve_of", lambda *_: None)
+    assert rows(quality.duplicates(final, staging)) == rows(plain)
+
+
+def test_few_duplicates_shuffle_few_keys(spark, staging, no_broadcast):
+    """What is counted first is eight bytes a row; keys are shuffled for the repeated ones only."""
+    final = staging(encounters(spark, 20_000, 200), "final")
+    plain, through = quality.duplicates(final), quality.duplicates(final, staging)
+    assert len(plain.collect()) == len(through.collect()) == 101
+    (before,) = metric(plain, "ShuffleExchangeExec", "shuffleRecordsWritten")
+    (after,) = metric(through, "ShuffleExchangeExec", "shuffleRecordsWritten")
+    assert before >= 20_000 and after < 1_000
