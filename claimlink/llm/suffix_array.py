@@ -4,16 +4,16 @@ Suffixes are classified as smaller or larger than their right neighbour. Sorted
 (LMS) suffixes induce all larger ones from the left and then all smaller ones from the right. A
 bucket (suffixes with the same first symbol) is induced in one array step per round; a round more
 is needed only for runs of the bucket's own symbol. The LMS order comes from naming the sorted LMS
-substrings and recursion on the string of names; where names are so many that buckets are thin, the
-recursion ends in a direct sort. Work is linear in the text, but for that last sort of a ninth or
-less of it.
+substrings and recursion on the string of names, down to names that are all different. Where buckets
+are thin, as those of many names are, or runs are long, an array step costs more than the few symbols
+it moves, and suffixes are induced one by one. Work is linear in the text.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-THIN_BUCKET = 100  # symbols per bucket below which the recursion sorts directly
+THIN_BUCKET = 100  # symbols per array step below which they are induced one by one
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -50,11 +50,8 @@ def _sort(s: np.ndarray, symbols: int) -> np.ndarray:
     place = np.empty(len(s), np.int64)
     place[ordered] = names
     reduced = place[lms]
-    if distinct * THIN_BUCKET > len(reduced):
-        order = _direct(reduced)
-    else:
-        kind = np.uint16 if distinct <= 1 << 16 else np.int64
-        order = _sort(reduced.astype(kind), distinct)
+    kind = np.uint16 if distinct <= 1 << 16 else np.int64
+    order = _sort(reduced.astype(kind), distinct)
     return _induce(s, small, lms[order], symbols)
 
 
@@ -76,9 +73,20 @@ def _names(s: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(~same)])
 
 
+def _rounds(s: np.ndarray, symbols: int) -> int:
+    """Array steps that inducing takes at most: a symbol's longest run, summed over the symbols."""
+    last = np.flatnonzero(np.append(s[1:] != s[:-1], True))
+    longest = np.zeros(symbols, np.int64)
+    np.maximum.at(longest, s[last], np.diff(last, prepend=-1))
+    return int(longest.sum())
+
+
 def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, symbols: int) -> np.ndarray:
+    """All suffixes in order, from LMS suffixes in the order given."""
     counts = np.bincount(s, minlength=symbols)
     ends = np.cumsum(counts)
+    if _rounds(s, symbols) * THIN_BUCKET > len(s):
+        return _induce_singly(s, small, lms, ends, counts)
     starts = ends - counts
     sa = np.full(len(s), -1, np.int64)
     lms_symbols = s[lms]
@@ -134,20 +142,39 @@ def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, symbols: int) ->
     return sa
 
 
-def _direct(s: np.ndarray) -> np.ndarray:
-    """Suffix array of a string of names by sorting ever longer prefixes."""
-    rank, k = s.astype(np.int64), 1
-    while True:
-        key = rank * (len(s) + 1)
-        key[:-k] += rank[k:] + 1
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        new = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = np.empty(len(s), np.int64)
-        rank[order] = new
-        if new[-1] + 1 == len(s):
-            return order
-        k *= 2
+def _induce_singly(
+    s: np.ndarray, small: np.ndarray, lms: np.ndarray, ends: np.ndarray, counts: np.ndarray
+) -> np.ndarray:
+    """What ``_induce`` gives, suffix by suffix.
+
+    0 stands for a place not yet filled: like suffix 0 itself it induces nothing, as what lies before
+    it, the end of ``s``, counts as neither larger nor smaller.
+    """
+    wide = s.astype(np.int64)
+    larger = np.where(small, -1, wide).tolist()
+    smaller = np.where(small, wide, -1)
+    smaller[-1] = -1
+    smaller = smaller.tolist()
+
+    seeds = s[lms]
+    grouped = np.argsort(seeds, kind="stable")
+    sizes = np.bincount(seeds, minlength=len(ends))
+    behind = np.arange(len(lms)) - np.cumsum(sizes)[seeds[grouped]]
+    filled = np.zeros(len(s), np.int64)
+    filled[ends[seeds[grouped]] + behind] = lms[grouped]
+    sa, heads, tails = filled.tolist(), (ends - counts).tolist(), ends.tolist()
+
+    for p in sa:  # sees what it fills further on
+        c = larger[p - 1]
+        if c >= 0:
+            sa[heads[c]] = p - 1
+            heads[c] += 1
+    for p in reversed(sa):
+        c = smaller[p - 1]
+        if c >= 0:
+            tails[c] -= 1
+            sa[tails[c]] = p - 1
+    return np.array(sa, np.int64)
 
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

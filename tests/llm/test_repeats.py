@@ -123,6 +123,44 @@ def test_suffix_array_and_prefixes(monkeypatch, thin):
             assert t[a : a + n] == t[b : b + n] and t[a + n : a + n + 1] != t[b + n : b + n + 1]
 
 
+@pytest.mark.parametrize("thin", [0.001, 30, 100, 10**9])
+@pytest.mark.parametrize("unit", [b"a", b"ab", b"abracadabra", b"\x00\xff", b"mississippi "])
+def test_suffix_array_of_long_runs(monkeypatch, thin, unit):
+    """Periods are what recursion goes deep on; every suffix is one more period than another."""
+    monkeypatch.setattr(suffix_array, "THIN_BUCKET", thin)
+    for text in (unit * (700 // len(unit)), unit * 40 + b"b" + unit * 40, b"b" * 90 + unit * 30):
+        order = suffix_array.suffix_array(np.frombuffer(text, np.uint8))
+        assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_suffix_array_recurses_to_the_end(monkeypatch):
+    """Strings of names get shorter until all names differ, by induction at every level."""
+    seen, induce = [], suffix_array._induce
+
+    def watched(s, *rest):
+        seen.append(len(s))
+        return induce(s, *rest)
+
+    monkeypatch.setattr(suffix_array, "_induce", watched)
+    text = (prose(random.Random(8), 4_000) * 3).encode()
+    order = suffix_array.suffix_array(np.frombuffer(text, np.uint8))
+    assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    levels = sorted(set(seen), reverse=True)
+    assert len(levels) > 3
+    assert all(b <= a // 2 for a, b in zip(levels, levels[1:], strict=False))
+
+
+def test_long_runs_take_linear_time():
+    """A run of one byte, or a period, costs what other text of its length does."""
+    rounds = suffix_array._rounds(np.array([3, 3, 3, 1, 3, 1, 1, 0]), 5)
+    assert rounds == 3 + 2 + 1
+    n = 200_000
+    for unit in (b"a", b"ab"):
+        order = suffix_array.suffix_array(np.frombuffer(unit * (n // len(unit)), np.uint8))
+        starts = [np.arange(k, n, len(unit))[::-1] for k in range(len(unit))]
+        assert np.array_equal(order, np.concatenate(starts))
+
+
 def test_smallest_of_windows():
     rng = np.random.default_rng(2)
     for size in (1, 2, 5, 16):
