@@ -687,6 +687,45 @@ def _(c):
     return quality.reconcile(c.inputs.treatment, c.treatment, "treatment_claim_id")
 
 
+def _differing_sql(before: str, after: str, keys: str) -> str:
+    """Keys with other numbers of rows in one relation than in the other."""
+    return oracle.with_steps(
+        f"SELECT {keys}, CAST(sum(b) AS BIGINT) AS rows_before, CAST(sum(a) AS BIGINT) AS"
+        f" rows_after FROM (SELECT {keys}, 1 AS b, 0 AS a FROM {before} UNION ALL"
+        f" SELECT {keys}, 0, 1 FROM {after}) AS both_tables"
+        f" GROUP BY {keys} HAVING sum(b) <> sum(a)"
+    )
+
+
+@_query(
+    "reconcile_rows",
+    _differing_sql(
+        "(SELECT treatment_claim_id AS claim_id FROM raw_treatment"
+        " UNION ALL SELECT procedure_claim_id FROM raw_procedure) AS raw",
+        "base",
+        "claim_id",
+    ),
+)
+def _(c):
+    raw = c.inputs.treatment.select(F.col("treatment_claim_id").alias("claim_id")).unionAll(
+        c.inputs.procedure.select("procedure_claim_id")
+    )
+    return quality.reconcile_rows(c.staging(raw, "raw_ids"), c.base)
+
+
+_ENCOUNTER = ["data_source", "encounter_key", "codes"]
+
+
+@_query(
+    "reconcile_rows_final",
+    _differing_sql("integrated_paid", "integrated_final", ", ".join(_ENCOUNTER)),
+)
+def _(c):
+    paid = c.staging(c.integrated((PAID,)).select(*_ENCOUNTER), "paid")
+    final = c.staging(c.integrated((PAID, NON_PAID)).select(*_ENCOUNTER), "final")
+    return quality.reconcile_rows(paid, final, _ENCOUNTER)
+
+
 @_query(
     "count_distinct_composite",
     _select(

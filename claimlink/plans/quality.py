@@ -13,6 +13,7 @@ from claimlink.operators.base import segment
 from claimlink.operators.link import linked_claims, with_flag
 from claimlink.operators.match import best_matches
 from claimlink.operators.sieve import sieve_of
+from claimlink.operators.sketch import differing
 from claimlink.plans.integrate import Run
 from claimlink.schema import DEFAULT_RULES, EXACT_KEYS, LINK_KEYS, Rules
 from claimlink.sources import Staging
@@ -36,6 +37,16 @@ def reconcile_keys(df: DataFrame, keysets: Mapping[str, Sequence[str]]) -> DataF
     )
 
 
+def reconcile_rows(
+    before: DataFrame, after: DataFrame, keys: Sequence[str] = ("claim_id",)
+) -> DataFrame:
+    """Which keys a step has lost, added or multiplied: rows before and after, where they differ.
+
+    Meant for stored stages that should be alike; keys that are alike are not shuffled.
+    """
+    return differing(before, after, keys)
+
+
 def claim_ids(*stages: DataFrame) -> DataFrame:
     """Distinct claim ids over one or more stages."""
     parts = [s.select("claim_id") for s in stages]
