@@ -13,7 +13,8 @@ candidate scores and final scores cover all documents.
 
 Defined results: a null text has no words; null metadata is a value of its own. Without labels, or
 with one class only, the score is 0.5 and all documents are kept. Repeated rows are scored alike
-and each returned; null ids are scored, too. Extra columns do not matter.
+and each returned; null ids are scored, too. Of a labelled id with several texts the row with the
+smallest features is fitted. Extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlink.llm.common import arrow_schema, batch, fields, staging, texts
 from claimlink.llm.text_stats import MAX_LABELLED, counts, labelled_ids, learn_lexicon
+from claimlink.operators.sieve import sieve_of
 
 ROUNDS = 3
 MAX_PSEUDO = 5_000
@@ -51,7 +53,11 @@ TEXT = [
     "flagged_words",
 ]
 META = ["length", "lang", "origin"]
-FEATURES = fields(("doc_id", "long"), *[(c, "double") for c in TEXT + META])
+READ = ["text", "n_chars", "lang", "source"]  # as far as documents have them
+KEYS = fields(("key_1", "long"), ("key_2", "long"))
+FEATURES = fields(
+    ("doc_id", "long"), ("key_1", "long"), ("key_2", "long"), *[(c, "double") for c in TEXT + META]
+)
 
 
 def text_features(text: bytes, lexicon: frozenset[bytes]) -> list[float]:
@@ -229,16 +235,24 @@ def _confident(
     return rows[names].to_numpy(float).reshape(-1, len(names)), rows["good"].to_numpy(float)
 
 
+def _keys(docs: DataFrame) -> list[Column]:
+    """128 bits of all that the features of a row are made of."""
+    read = [F.col(c).cast("string") for c in READ if c in docs.columns]
+    parts = [part for c in read for part in (c, c.isNull())]
+    return [F.xxhash64(F.lit(name), *parts).alias(name) for name in KEYS.names]
+
+
 def document_features(docs: DataFrame, lexicon: frozenset[bytes]) -> DataFrame:
     schema = arrow_schema(FEATURES)
 
     def measure(batches):
         for b in batches:
             columns = list(zip(*_features(b, lexicon), strict=True)) or [()] * len(TEXT + META)
-            yield batch(schema, [b.column("doc_id"), *columns])
+            own = [b.column(c) for c in ("doc_id", *KEYS.names)]
+            yield batch(schema, [*own, *columns])
 
-    read = [c for c in ("text", "n_chars", "lang", "source") if c in docs.columns]
-    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *read)
+    read = [c for c in READ if c in docs.columns]
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *read, *_keys(docs))
     return chosen.mapInArrow(measure, FEATURES)
 
 
@@ -265,7 +279,9 @@ def train(
     known = spark.createDataFrame(list(sample.items()), "doc_id long, bad int")
     rows: pd.DataFrame = (
         features.join(F.broadcast(known), "doc_id")  # at most MAX_LABELLED rows
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("bad", *names)).alias("row"))
+        .select("doc_id", "row.*")
         .toPandas()
         .sort_values("doc_id")
     )
@@ -309,16 +325,33 @@ def score_documents(trained: Trained) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, trained: Trained) -> DataFrame:
-    """The documents whose score reaches ``KEEP_FROM``, with all their columns, in one pass."""
-    model, lexicon = trained.model, trained.lexicon
+    """The documents whose score reaches ``KEEP_FROM``, with all their columns.
+
+    Texts are not measured again: the stored features name what is rejected, by a hash of all the
+    features come from. A Bloom filter of these keys lets most other documents pass without a
+    shuffle; those it holds back meet the keys themselves. ``docs`` is read twice and should be a
+    stored table, the one ``trained`` comes from.
+    """
+    model, names, schema = trained.model, TEXT + META, arrow_schema(KEYS)
     if model is None:
         return docs
 
-    def keep(batches):
+    def reject(batches):
         for b in batches:
             if b.num_rows:
-                x = np.array(_features(b, lexicon), float)
-                b = b.filter(pa.array(model.score(x) >= KEEP_FROM))
-            yield b
-
-    return docs.mapInArrow(keep, docs.schema)
+                x = np.column_stack([b.column(c).to_numpy() for c in names])
+                b = b.filter(pa.array(~(model.score(x) >= KEEP_FROM)))
+            yield batch(schema, [b.column(c) for c in KEYS.names])
+
+    store = staging(docs.sparkSession)
+    rejected = store(trained.features.mapInArrow(reject, KEYS).distinct(), "rejected")
+    sieve = sieve_of(rejected, store)
+    rows = docs.select(F.struct("*").alias("row"), *_keys(docs))  # no name of docs can clash
+    if sieve is None:
+        kept = rows.join(rejected, KEYS.names, "left_anti")
+    else:
+        held = sieve.maybe(rows, KEYS.names)
+        kept = sieve.surely_not(rows, KEYS.names).unionAll(
+            held.join(rejected, KEYS.names, "left_anti").select(rows.columns)
+        )
+    return kept.select("row.*")

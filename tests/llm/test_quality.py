@@ -109,6 +109,47 @@ def test_two_views_and_their_combination(sample_documents, labels):
     same(kept.select("doc_id"), scores.filter("kept").select("doc_id").collect())
 
 
+def test_verdicts_meet_the_texts_without_measuring_again(
+    session, sample_documents, labels, monkeypatch
+):
+    """With and without a filter, among names a helper column might have, with repeated rows."""
+    from pyspark.sql import functions as F
+
+    docs = sample_documents.unionAll(sample_documents.limit(40)).select(
+        "*",
+        *[F.lit(n).alias(c) for n, c in enumerate(
+            ["row", "key_1", "KEY_2", "_sieve_block", "_sieve_0", "kept", "words", "a.b"]
+        )],
+    )
+    trained = cotraining.train(docs, labels)
+    bad = {r.doc_id for r in cotraining.score_documents(trained).filter("NOT kept").collect()}
+    want = sorted(r.doc_id for r in docs.select("doc_id").collect() if r.doc_id not in bad)
+    assert 0 < len(want) < docs.count()
+
+    def never(*_):
+        raise AssertionError("texts are measured again")
+
+    monkeypatch.setattr(cotraining, "_features", never)
+    for _ in range(2):
+        kept = cotraining.keep_good(docs, trained)
+        assert kept.schema == docs.schema
+        assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == want
+        monkeypatch.setattr(cotraining, "sieve_of", lambda *_: None)
+
+
+def test_a_labelled_id_with_two_texts(session, sample_documents, labels):
+    """The fit does not depend on the order of rows."""
+    some = sample_documents.limit(60)
+    other = some.withColumn("text", some["lang"])
+    docs = sample_documents.unionAll(other)
+    models = []
+    for parts in (2, 7):
+        trained = cotraining.train(docs.repartition(parts), labels)
+        found = cotraining.score_documents(trained).select("doc_id", "score").collect()
+        models.append(sorted((r.doc_id, round(r.score, 9)) for r in found))
+    assert models[0] == models[1]
+
+
 def test_pseudo_labels_teach_the_other_view():
     """A view that labels cannot train learns from the other one's certain rows."""
     rng = np.random.default_rng(3)
