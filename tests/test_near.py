@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import pytest
-from helpers import rows
+from helpers import metric, rows
 from pyspark.sql import functions as F
 
-from claimlink.operators.base import enrich_tokens, standardize
+from claimlink.operators.base import enrich_tokens, segment, standardize
 from claimlink.operators.link import linked_claims
-from claimlink.operators.near import near
+from claimlink.operators.match import best_matches
+from claimlink.operators.near import near, near_sides
 from claimlink.plans import integrate as plan
-from claimlink.schema import CLAIM_COLUMNS, DEFAULT_RULES
+from claimlink.plans.integrate import distinct_rows
+from claimlink.schema import CLAIM_COLUMNS, DEFAULT_RULES, EXACT_KEYS, LINK_KEYS
 from claimlink.sources import Staging
 from claimlink.sources.fixture import inputs
 
@@ -99,3 +101,23 @@ def test_bridge_goes_to_the_claims_by_its_measured_size(spark):
         assert "SortMergeJoin [original_token_1" in large
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("keys", [LINK_KEYS, EXACT_KEYS])
+def test_sides_of_a_scenario_shrink_before_they_are_shuffled(spark, base, keys):
+    anchor = keys is LINK_KEYS
+    a, b = (segment(v, anchor, base).filter("paid_flag = 1") for v in "AB")
+    own, other = near_sides(a, b, keys, 5, Staging(spark))
+    assert own.count() + other.count() < (a.count() + b.count()) / 2
+    assert rows(best_matches(own, other, keys, ranks=True)) == rows(
+        best_matches(a, b, keys, ranks=True)
+    )
+
+
+def test_distinct_shuffles_only_rows_that_may_repeat(spark, base):
+    twice = base.union(base.filter("claim_id LIKE '%1'"))
+    kept = distinct_rows(twice, Staging(spark))
+    assert rows(kept) == rows(twice.distinct())
+    kept.collect()
+    (doubtful, *_) = sorted(metric(kept, "ShuffleExchangeExec", "shuffleRecordsWritten"))
+    assert doubtful < base.count() / 2
