@@ -121,3 +121,39 @@ def test_distinct_shuffles_only_rows_that_may_repeat(spark, base):
     kept.collect()
     (doubtful, *_) = sorted(metric(kept, "ShuffleExchangeExec", "shuffleRecordsWritten"))
     assert doubtful < base.count() / 2
+
+
+@pytest.mark.parametrize("purged", [True, False])
+def test_rows_of_both_runs_are_not_shuffled_for_the_union(spark, base, purged):
+    """UNION of two tables that share most rows: the same rows, only doubtful ones in its DISTINCT."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    tables = [plan.integrate(base, (flag,), purged=purged) for flag in (1, 0)]
+    plain, merged = plan.merge_final(*tables), plan.merge_runs(base, purged=purged)
+    assert rows(merged) == rows(plain)
+    before, after = (
+        sum(metric(df, "ShuffleExchangeExec", "shuffleRecordsWritten"))
+        for df in (plain, merged)
+        if df.collect()
+    )
+    assert after < before / 2
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert rows(plan.merge_runs(base, purged=purged)) == rows(plain)
+    finally:
+        spark.conf.set(key, kept)
+
+
+@pytest.mark.parametrize("null_flag", [1, 0])
+def test_union_of_runs_when_a_used_key_is_null(claims, null_flag):
+    """One run is blocked by its NULL key; the other still lists all claims but those it used."""
+    table = claims(
+        *({"datasource": v, "claim_id": None, "paid_flag": null_flag} for v in "AB"),
+        *({"datasource": v, "claim_id": "u", "paid_flag": 1 - null_flag, "dos": 200} for v in "AB"),
+        {"claim_id": "x", "dos": 300},
+        {"claim_id": "x", "dos": 300},
+        {"claim_id": None, "dos": 400},
+    )
+    for flags in ((1, 0), (0, 1)):
+        plain = plan.merge_final(*(plan.integrate(table, (f,)) for f in flags))
+        assert rows(plan.merge_runs(table)) == rows(plain)
