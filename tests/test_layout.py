@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
-from helpers import metric, rows
+from helpers import metric, plan_nodes, rows
 from pyspark.sql import functions as F
 
 from claimlink.operators.base import LAYOUT, segment, store_base
@@ -90,3 +93,27 @@ def test_empty_base(spark):
     stored = store_base(spark.createDataFrame([], CLAIM_SCHEMA), Staging(spark))
     assert stored.columns == [*CLAIM_COLUMNS, *LAYOUT] and stored.count() == 0
     assert plan.integrate(stored, (1, 0)).count() == 0
+
+
+def test_ids_are_written_without_dictionaries(plain, spark):
+    """Each has very many values: a dictionary per folder and task would be filled and thrown away."""
+    staging = Staging(spark)
+    store_base(plain, staging)
+    folder = Path(staging.folder.removeprefix("file://").removeprefix("file:"))
+    files = list(folder.rglob("*.parquet"))
+    assert files
+    for file in files:
+        meta = pq.ParquetFile(file.open("rb")).metadata
+        chunks = [meta.row_group(0).column(k) for k in range(meta.num_columns)]
+        kinds = {c.path_in_schema: c.has_dictionary_page for c in chunks}
+        assert not any(kinds[c] for c in kinds if c in ("claim_id", "patient_id"))
+        assert not any(kinds[c] for c in kinds if c.startswith("patient_token"))
+        assert kinds["code"]
+
+
+def test_lines_and_orders_meet_without_a_sort(spark):
+    for raw in (inputs(spark, DATA).treatment, inputs(spark, DATA).procedure):
+        raw.collect()
+        nodes = [n.getClass().getSimpleName() for n in plan_nodes(raw)]
+        assert "ShuffledHashJoinExec" in nodes
+        assert not {"SortExec", "SortMergeJoinExec", "BroadcastHashJoinExec"} & set(nodes)

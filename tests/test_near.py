@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import metric, rows
+from helpers import metric, plan_nodes, rows
 from pyspark.sql import functions as F
 
 from claimlink.operators.base import enrich_tokens, segment, standardize
@@ -157,3 +157,28 @@ def test_union_of_runs_when_a_used_key_is_null(claims, null_flag):
     for flags in ((1, 0), (0, 1)):
         plain = plan.merge_final(*(plan.integrate(table, (f,)) for f in flags))
         assert rows(plan.merge_runs(table)) == rows(plain)
+
+
+def test_rows_alike_in_what_is_hashed_only_stay_apart(spark, claims):
+    """Rows are counted by a hash of some columns: copies are one row, others all stay."""
+    base = Staging(spark)(
+        claims(
+            *[{"claim_id": "same", "source": s} for s in ("x", "y", "y", "z", "z", "z")],
+            *[{"claim_id": f"c{k}"} for k in range(50)],
+        ),
+        "base",
+    )
+    result = plan.integrate(base, (1,), staging=Staging(spark))
+    assert result.count() == 3 + 50
+    assert rows(result) == rows(result.distinct())
+
+
+def test_only_telling_columns_are_read_to_count_rows(spark, claims, monkeypatch):
+    base = Staging(spark)(claims(*[{"claim_id": f"c{k}"} for k in range(5)]), "base")
+    seen = []
+    monkeypatch.setattr(plan, "_repeated", lambda digests, staging: seen.append(digests))
+    keyed = base.select("*", plan.claim_key().alias("claim_key"))
+    assert plan._settled(keyed, keyed.select("claim_key"), Staging(spark)) is None
+    (scan,) = [n for n in plan_nodes(seen[0]) if n.getClass().getSimpleName() == "FileSourceScanExec"]
+    read = set(scan.requiredSchema().fieldNames())
+    assert read == set(plan._TELLING) and "source" not in read
