@@ -7,6 +7,7 @@ import pytest
 from helpers import metric, rows
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from claimlink.operators.base import segment
 from claimlink.plans import quality, scenarios
 from claimlink.plans.lookup import store_for_lookup, trace_stored
@@ -102,3 +103,14 @@ def test_rows_without_an_id_and_empty_tables(spark):
     assert trace_stored({"none": empty, "few": table}, "a").count() == 1
     with pytest.raises(ValueError):
         store_for_lookup(df.withColumn("_spread", F.lit(1)), Staging(spark), "clash")
+
+
+def test_one_claim_is_traced_by_scans(spark, monkeypatch):
+    """The query stores the base and what linking needs, no table in order of the claim id."""
+    names, save = [], Staging.path
+    monkeypatch.setattr(Staging, "path", lambda self, name: names.append(name) or save(self, name))
+    found = driver._QUERIES["trace_claim"](spark, DATA)
+    assert found.count() > 0
+    assert names.count("base") == 1 and "primary_anchor" not in names and "ranked_1_paid" not in names
+    plans = found._jdf.queryExecution().toString()
+    assert plans.count("EqualTo(claim_id") >= 2  # the scans of base and anchors skip what cannot hold it
