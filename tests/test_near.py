@@ -11,6 +11,7 @@ from claimlink.operators.link import linked_claims
 from claimlink.operators.match import best_matches
 from claimlink.operators.near import near, near_sides
 from claimlink.plans import integrate as plan
+from claimlink.plans import quality
 from claimlink.plans.integrate import distinct_rows
 from claimlink.schema import CLAIM_COLUMNS, DEFAULT_RULES, EXACT_KEYS, LINK_KEYS
 from claimlink.sources import Staging
@@ -182,3 +183,9 @@ def test_only_telling_columns_are_read_to_count_rows(spark, claims, monkeypatch)
     (scan,) = [n for n in plan_nodes(seen[0]) if n.getClass().getSimpleName() == "FileSourceScanExec"]
     read = set(scan.requiredSchema().fieldNames())
     assert read == set(plan._TELLING) and "source" not in read
+
+
+def test_the_report_stores_its_profile_without_a_shuffle(spark, base):
+    profile = quality._profile(Staging(spark)(plan.integrate(base, (1,)), "final"))
+    profile.collect()
+    assert not [n for n in plan_nodes(profile) if "Exchange" in n.getClass().getSimpleName()]
