@@ -6,6 +6,7 @@ import pytest
 from helpers import metric, plan_nodes, rows
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from claimlink.operators.base import enrich_tokens, segment, standardize
 from claimlink.operators.link import linked_claims
 from claimlink.operators.match import best_matches
@@ -189,3 +190,15 @@ def test_the_report_stores_its_profile_without_a_shuffle(spark, base):
     profile = quality._profile(Staging(spark)(plan.integrate(base, (1,)), "final"))
     profile.collect()
     assert not [n for n in plan_nodes(profile) if "Exchange" in n.getClass().getSimpleName()]
+
+
+def test_repeated_encounters_store_their_keys_only(spark, monkeypatch):
+    stored, call = {}, Staging.__call__
+
+    def store(self, df, name):
+        stored[name] = df.columns
+        return call(self, df, name)
+
+    monkeypatch.setattr(Staging, "__call__", store)
+    driver._QUERIES["duplicate_encounters"](spark, DATA)
+    assert stored["encounters"] == ["encounter_key", "codes"] and "final" not in stored
