@@ -131,6 +131,25 @@ def test_partitions_grow_with_the_input(spark):
             spark.conf.set(name, value)
 
 
+def test_what_a_task_reads_stays_bounded(spark):
+    """Stored claims are many times as large as rows: larger sizes of the session are cut to 16 MB."""
+    names = [
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.shuffle.partitions",
+    ]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for given, kept in (("128m", 16 * 1024**2), ("64m", 16 * 1024**2), ("1048576", 1024**2)):
+            for name in names[:2]:
+                spark.conf.set(name, given)
+            configure(spark, input_bytes=6 * 1024**3)
+            assert [int(spark.conf.get(n)) for n in names[:2]] == [kept, kept]
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+
+
 SIZE = 30_000
 
 
